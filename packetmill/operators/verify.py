@@ -23,38 +23,49 @@ MIN_LENGTH = 3
 REVIEW_CONFIDENCE = 0.80
 
 
-def _sought(field: str, columns: list[str]) -> Column:
-    """The normalised text to look for, null when the field needs no check."""
-    nothing = F.lit(None).cast("string")
-    if field not in columns:
-        return nothing
-    value = F.col(field)
-    if field in schemas.NUMERIC_KEY_FIELDS:
-        given, own = value.isNotNull(), text.norm_number(value)
-    else:
-        given, own = value.isNotNull() & (value != ""), text.norm(value)
-    plain = F.when(F.length(own) >= MIN_LENGTH, own)
-    evidence_name = schemas.EVIDENCE_FIELDS.get(field)
-    if evidence_name in columns:
-        evidence = F.col(evidence_name)
-        size = F.length(evidence)
-        # Evidence of punctuation alone normalises to "", which every text contains.
-        plain = F.when(size.between(1, MAX_EVIDENCE), F.nullif(text.norm(evidence), F.lit(""))).otherwise(plain)
-    return F.when(given, plain).otherwise(nothing)
+def key_fields(docs: DataFrame) -> list[str]:
+    """The fields of the table that are checked, in report order."""
+    return [f for f in schemas.KEY_FIELDS if f in docs.columns]
+
+
+def sought_values(docs: DataFrame) -> Column:
+    """The normalised text to look for per key field, null where the field needs no check.
+
+    The numeric fields are the last of the key fields, so words then numbers is report order.
+    """
+    fields = key_fields(docs)
+    words = [f for f in fields if f not in schemas.NUMERIC_KEY_FIELDS]
+    numbers = [f for f in fields if f in schemas.NUMERIC_KEY_FIELDS]
+    evidence = [schemas.EVIDENCE_FIELDS.get(f) for f in numbers]
+    empty = F.array().cast("array<string>")
 
+    def long_enough(own: Column) -> Column:
+        return F.when(F.length(own) >= MIN_LENGTH, own)
 
-def sought_values(columns: list[str]) -> Column:
-    """One entry per key field, in report order."""
-    return F.array(*[_sought(f, columns) for f in schemas.KEY_FIELDS])
+    def own_or_evidence(v: Column) -> Column:
+        # Evidence of punctuation alone normalises to "", which every text contains.
+        from_page = F.nullif(text.norm(v["evidence"]), F.lit(""))
+        plain = long_enough(text.norm_number(v["value"]))
+        chosen = F.when(F.length(v["evidence"]).between(1, MAX_EVIDENCE), from_page).otherwise(plain)
+        return F.when(v["value"].isNotNull(), chosen)
+
+    pairs = [
+        F.struct(
+            F.col(n).cast("double").alias("value"),
+            (F.col(e) if e in docs.columns else F.lit(None).cast("string")).alias("evidence"),
+        )
+        for n, e in zip(numbers, evidence)
+    ]
+    # An empty word normalises to "" and is too short to be checked, as it should be.
+    from_words = F.transform(F.array(*words), lambda w: long_enough(text.norm(w))) if words else empty
+    from_numbers = F.transform(F.array(*pairs), own_or_evidence) if pairs else empty
+    return F.concat(from_words, from_numbers)
 
 
-def _found_in(body: Column) -> Column:
-    """Bit i is set when sought value i occurs in the text."""
-    bits = F.lit(0)
-    for i in range(len(schemas.KEY_FIELDS)):
-        hit = F.coalesce(body.contains(F.get(F.col("sought"), F.lit(i))), F.lit(False))
-        bits = bits.bitwiseOR(F.when(hit, F.lit(1 << i)).otherwise(F.lit(0)))
-    return bits
+def _found_in(n_fields: int) -> Column:
+    """Bit i is set when sought value i occurs in the body."""
+    hits = [f"if(contains(body, get(sought, {i})), {1 << i}, 0)" for i in range(n_fields)]
+    return F.expr(" | ".join(["0", *hits]))
 
 
 def _edges(body: Column) -> Column:
@@ -64,19 +75,20 @@ def _edges(body: Column) -> Column:
     ).otherwise(body)
 
 
-def _put_together(pieces: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+def _put_together(pieces: DataFrame, keys: list[str], order: list[str], n_fields: int) -> DataFrame:
     """Join neighbouring pieces, search their seams and shorten them to their edges again."""
     parts = F.array_sort(F.collect_list(F.struct(*order, "body")))
-    grouped = pieces.groupBy("load_id", "doc_seq", *keys).agg(
-        F.array_join(F.transform(parts, lambda p: p["body"]), "").alias("body"),
+    return pieces.groupBy("load_id", "doc_seq", *keys).agg(
+        F.array_join(parts["body"], "").alias("body"),
         F.any_value("sought").alias("sought"),
         F.any_value("edge").alias("edge"),
         F.bit_or("found").alias("found"),
         F.sum("conf_sum").alias("conf_sum"),
         F.sum("conf_n").alias("conf_n"),
-    )
-    searched = grouped.withColumn("found", F.col("found").bitwiseOR(_found_in(F.col("body"))))
-    return searched.withColumn("body", _edges(F.col("body")))
+    ).withColumns({
+        "found": F.col("found").bitwiseOR(_found_in(n_fields)),
+        "body": _edges(F.col("body")),
+    })
 
 
 def check_documents(docs: DataFrame, pages: DataFrame) -> DataFrame:
@@ -86,39 +98,41 @@ def check_documents(docs: DataFrame, pages: DataFrame) -> DataFrame:
     few bytes per page. Pages are put together in stretches of bounded length first, so that a
     document of any size stays spread.
     """
-    wanted = [f for f in schemas.KEY_FIELDS + list(schemas.EVIDENCE_FIELDS.values()) if f in docs.columns]
-    scoped = with_scope(docs.select("load_id", "doc_seq", "page_range", *wanted), pages)
-    longest = F.array_max(F.transform(F.col("sought"), lambda v: F.length(v)))
-    prepared = (
-        scoped.withColumn("sought", sought_values(docs.columns))
-        .withColumn("edge", F.greatest(F.coalesce(longest, F.lit(1)) - 1, F.lit(0)))
-        .select("load_id", "doc_seq", "spans", "sought", "edge")
+    fields = key_fields(docs)
+    inputs = [*fields, *(e for e in schemas.EVIDENCE_FIELDS.values() if e in docs.columns)]
+    sought = sought_values(docs)
+    longest = F.array_max(F.transform("sought", lambda v: F.length(v)))
+    keyed = docs.select("load_id", "doc_seq", "page_range", *inputs).select(
+        "load_id", "doc_seq", "page_range", sought.alias("sought")
+    )
+    scoped = with_scope(keyed, pages).select(
+        "load_id", "doc_seq", "spans", "sought", F.greatest(F.coalesce(longest, F.lit(1)) - 1, F.lit(0)).alias("edge")
     )
-    listed = page_ranges.list_pages(prepared)
     norm_pages = pages.select("load_id", "page_no", text.norm(F.col("page_text")).alias("body"), "page_conf")
-    per_page = (
-        listed.join(norm_pages, ["load_id", "page_no"])
-        .withColumn("found", _found_in(F.col("body")))
-        .withColumn("body", _edges(F.col("body")))
-        .withColumn("conf_sum", F.col("page_conf"))
-        .withColumn("conf_n", F.when(F.col("page_conf").isNotNull(), 1).otherwise(0))
+    per_page = page_ranges.list_pages(scoped).join(norm_pages, ["load_id", "page_no"]).withColumns({
+        "found": _found_in(len(fields)),
+        "body": _edges(F.col("body")),
+        "conf_sum": F.col("page_conf"),
+        "conf_n": F.when(F.col("page_conf").isNotNull(), 1).otherwise(0),
+    })
+    stretches = _put_together(per_page, ["span_no", "run"], ["page_no"], len(fields))
+    checked = _put_together(stretches, [], ["span_no", "run"], len(fields))
+    results = checked.select(
+        "load_id", "doc_seq", "found",
+        F.round(F.col("conf_sum") / F.nullif(F.col("conf_n"), F.lit(0)), 3).alias("ocr_confidence"),
+    )
+    return docs.withColumn("sought", sought).join(results, ["load_id", "doc_seq"], "left").select(
+        *docs.columns, "ocr_confidence", _unverified(docs).alias("unverified_fields")
     )
-    stretches = _put_together(per_page, ["span_no", "run"], ["page_no"])
-    checked = _put_together(stretches, [], ["span_no", "run"])
-    confidence = F.round(F.col("conf_sum") / F.nullif(F.col("conf_n"), F.lit(0)), 3)
-    results = checked.select("load_id", "doc_seq", "found", confidence.alias("ocr_confidence"))
-    return docs.join(results, ["load_id", "doc_seq"], "left").withColumn(
-        "unverified_fields", _unverified(docs.columns)
-    ).drop("found")
 
 
-def _unverified(columns: list[str]) -> Column:
-    found = F.coalesce("found", F.lit(0))
+def _unverified(docs: DataFrame) -> Column:
+    """Names of the sought fields that no page and no seam contained."""
     names = [
-        F.when(_sought(field, columns).isNotNull() & (found.bitwiseAND(1 << i) == 0), field)
-        for i, field in enumerate(schemas.KEY_FIELDS)
+        f"if(get(sought, {i}) IS NOT NULL AND coalesce(found, 0) & {1 << i} = 0, '{f}', NULL)"
+        for i, f in enumerate(key_fields(docs))
     ]
-    return F.concat_ws(",", *names)
+    return F.expr(f"concat_ws(',', {', '.join(names)})") if names else F.lit("")
 
 
 def silver_review(confidence: Column, unverified: Column, illegible: Column | None = None,

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from packetmill.plans import ocr, reports, verification, worklist  # noqa: F401
+from packetmill.plans import gold, ocr, reports, silver, streams, verification, worklist  # noqa: F401
 from packetmill.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -176,7 +176,8 @@ FROM conversations WHERE conv_id % 5 < 2
 # freight_documents with the remaining silver columns.
 SQL["silver_documents"] = """
 SELECT f.*, concat('raw/loads/', load_id, '/1.pdf') AS source_pdf,
-       concat(cast(doc_seq * 2 - 1 AS string), '-', cast(doc_seq * 2 AS string)) AS page_range,
+       CASE WHEN pieces % 17 <> 0 THEN concat(cast(doc_seq * 2 - 1 AS string), '-', cast(doc_seq * 2 AS string)) END AS page_range,
+       concat(lpad(cast(pieces % 30 AS string), 2, '0'), ':15') AS pickup_appt_start,
        CASE WHEN doc_type_raw IN ('Rate Confirmation', 'Load Sheet') AND pieces % 4 = 0 THEN concat('RC', cast(pieces AS string)) END AS rc_number,
        CASE WHEN doc_type_raw = 'bill_of_lading' AND pieces % 10 <> 0 THEN concat('B', load_id) END AS bol_number,
        CASE WHEN pieces % 5 = 0 THEN concat('USDOT ', cast(pieces * 1000 AS string)) WHEN pieces % 5 = 1 THEN 'none' END AS carrier_dot,
