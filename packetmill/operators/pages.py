@@ -17,12 +17,23 @@ PART = 1024
 
 
 def page_stats(pages: DataFrame) -> DataFrame:
-    """Pages, confidence sum and non-blank mark per load; reads no more than a line per page."""
+    """Pages and confidence totals per load; the text is not read."""
     return pages.groupBy("load_id").agg(
         F.count("*").alias("n_pages"), F.sum("page_conf").alias("conf_sum"), F.count("page_conf").alias("conf_n")
     )
 
 
+def load_stats(docs: DataFrame, pages: DataFrame) -> DataFrame:
+    """``page_stats`` and the number of documents per load, from one grouping of both tables."""
+    both = pages.select("load_id", F.lit(1).alias("page"), "page_conf", F.lit(0).alias("doc")).unionByName(
+        docs.select("load_id", F.lit(0).alias("page"), F.lit(None).cast("double").alias("page_conf"), F.lit(1).alias("doc"))
+    )
+    return both.groupBy("load_id").agg(
+        F.sum("page").alias("n_pages"), F.sum("page_conf").alias("conf_sum"),
+        F.count("page_conf").alias("conf_n"), F.sum("doc").alias("n_docs"),
+    )
+
+
 def page_confidence(tokens: DataFrame) -> DataFrame:
     """Mean of the present, non-zero token confidences per page; 0.0 when there is none."""
     known = F.when(F.col("confidence") != 0, F.col("confidence"))
@@ -36,15 +47,16 @@ def with_scope(docs: DataFrame, pages: DataFrame) -> DataFrame:
 
     A range that names no existing page falls back to the whole packet.
     """
-    rows = join_summary(docs, page_stats(pages), ["load_id"])
+    # The range is parsed below the join, where filters on the result cannot repeat the work.
+    parsed = docs.withColumn("_named", page_ranges.page_spans(F.col("page_range")))
     n = F.coalesce(F.col("n_pages"), F.lit(0))
-    own = page_ranges.clip_spans(page_ranges.page_spans(F.col("page_range")), n)
-    return (
-        rows.withColumn("_own", own)
-        .withColumn("fallback", F.size("_own") == 0)
-        .withColumn("spans", F.when(F.col("fallback"), page_ranges.whole_packet(n)).otherwise(F.col("_own")))
-        .drop("_own")
+    rows = join_summary(parsed, load_stats(docs, pages), ["load_id"]).withColumn(
+        "_own", page_ranges.clip_spans(F.col("_named"), n)
     )
+    return rows.withColumns({
+        "fallback": F.size("_own") == 0,
+        "spans": F.when(F.size("_own") == 0, page_ranges.whole_packet(n)).otherwise(F.col("_own")),
+    }).drop("_own", "_named")
 
 
 def docs_to_pages(docs: DataFrame, pages: DataFrame) -> DataFrame:

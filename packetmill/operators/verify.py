@@ -19,6 +19,8 @@ from packetmill.operators.pages import with_scope
 # Evidence longer than this is not trusted, and values shorter than this are not checked.
 MAX_EVIDENCE = 64
 MIN_LENGTH = 3
+# Documents of one packet that may each be checked against all of its pages one by one.
+CROWD = 1000
 # Documents below this confidence go to review.
 REVIEW_CONFIDENCE = 0.80
 
@@ -91,12 +93,57 @@ def _put_together(pieces: DataFrame, keys: list[str], order: list[str], n_fields
     })
 
 
-def check_documents(docs: DataFrame, pages: DataFrame) -> DataFrame:
+def _search_pages(per_page: DataFrame, n_fields: int) -> DataFrame:
+    """Search every page for what its document seeks; ``load_id, doc_seq, found, conf``."""
+    searched = per_page.withColumns({
+        "found": _found_in(n_fields),
+        "body": _edges(F.col("body")),
+        "conf_sum": F.col("page_conf"),
+        "conf_n": F.when(F.col("page_conf").isNotNull(), 1).otherwise(0),
+    })
+    stretches = _put_together(searched, ["span_no", "run"], ["page_no"], n_fields)
+    checked = _put_together(stretches, [], ["span_no", "run"], n_fields)
+    conf = F.col("conf_sum") / F.nullif(F.col("conf_n"), F.lit(0))
+    return checked.select("load_id", "doc_seq", "found", conf.alias("conf"))
+
+
+def _strings(per_page: DataFrame) -> DataFrame:
+    """Every distinct string of a sought size in the text of whole packets: ``load_id, value``.
+
+    Strings inside a page come from the page; strings over a page break come from the edges of a
+    stretch of pages, then from the edges of the stretches.
+    """
+    def seams(pieces: DataFrame, keys: list[str], order: str) -> DataFrame:
+        parts = F.array_sort(F.collect_list(F.struct(F.col(order), _edges(F.col("body")).alias("body"))))
+        return pieces.groupBy("load_id", *keys).agg(
+            F.array_join(parts["body"], "").alias("body"),
+            F.any_value("edge").alias("edge"),
+            F.any_value("sizes").alias("sizes"),
+        )
+
+    stretches = seams(per_page, ["run"], "page_no")
+    columns = ["load_id", "body", "sizes"]
+    texts = per_page.select(*columns).unionByName(stretches.select(*columns))
+    texts = texts.unionByName(seams(stretches, [], "run").select(*columns))
+    sized = texts.select("load_id", "body", F.explode("sizes").alias("size")).filter(F.length("body") >= F.col("size"))
+    starts = F.explode(F.sequence(F.lit(1), F.length("body") - F.col("size") + 1))
+    strings = sized.select("load_id", "body", "size", starts.alias("at")).select(
+        "load_id", F.substr("body", F.col("at"), F.col("size")).alias("value")
+    )
+    return strings.filter(~F.col("value").contains(" ")).distinct()
+
+
+def check_documents(docs: DataFrame, pages: DataFrame, crowd: int = CROWD) -> DataFrame:
     """All columns of ``docs`` plus ``ocr_confidence`` and ``unverified_fields``.
 
     The page text crosses the network once, keyed by load and page; everything after that is a
     few bytes per page. Pages are put together in stretches of bounded length first, so that a
     document of any size stays spread.
+
+    Documents that refer to a whole packet are the one case where documents times pages could
+    explode. In a load of more than ``crowd`` documents those are not searched page by page: the
+    packet lists its strings of the sought sizes once, and the sought values join them by
+    equality, so the work grows with the text and with the documents but not with their product.
     """
     fields = key_fields(docs)
     inputs = [*fields, *(e for e in schemas.EVIDENCE_FIELDS.values() if e in docs.columns)]
@@ -105,24 +152,35 @@ def check_documents(docs: DataFrame, pages: DataFrame) -> DataFrame:
     keyed = docs.select("load_id", "doc_seq", "page_range", *inputs).select(
         "load_id", "doc_seq", "page_range", sought.alias("sought")
     )
+    first = F.get("spans", F.lit(0))
+    everything = (F.size("spans") == 1) & (first["first"] == 1) & (first["last"] == F.col("n_pages"))
     scoped = with_scope(keyed, pages).select(
-        "load_id", "doc_seq", "spans", "sought", F.greatest(F.coalesce(longest, F.lit(1)) - 1, F.lit(0)).alias("edge")
+        "load_id", "doc_seq", "spans", "sought", (F.col("conf_sum") / F.nullif(F.col("conf_n"), F.lit(0))).alias("conf"),
+        F.greatest(F.coalesce(longest, F.lit(1)) - 1, F.lit(0)).alias("edge"),
+        (everything & (F.col("n_docs") > crowd)).alias("crowded"),
     )
-    norm_pages = pages.select("load_id", "page_no", text.norm(F.col("page_text")).alias("body"), "page_conf")
-    per_page = page_ranges.list_pages(scoped).join(norm_pages, ["load_id", "page_no"]).withColumns({
-        "found": _found_in(len(fields)),
-        "body": _edges(F.col("body")),
-        "conf_sum": F.col("page_conf"),
-        "conf_n": F.when(F.col("page_conf").isNotNull(), 1).otherwise(0),
-    })
-    stretches = _put_together(per_page, ["span_no", "run"], ["page_no"], len(fields))
-    checked = _put_together(stretches, [], ["span_no", "run"], len(fields))
-    results = checked.select(
-        "load_id", "doc_seq", "found",
-        F.round(F.col("conf_sum") / F.nullif(F.col("conf_n"), F.lit(0)), 3).alias("ocr_confidence"),
+    crowded = scoped.filter("crowded")
+    values = crowded.select("load_id", "doc_seq", "spans", "edge", F.posexplode("sought").alias("i", "value")).filter(
+        "value IS NOT NULL"
+    )
+    # A crowded packet takes part in the page join once, as one document without values.
+    packets = values.groupBy("load_id").agg(
+        F.any_value("spans").alias("spans"), F.max("edge").alias("edge"),
+        F.collect_set(F.length("value")).alias("sizes"),
+    )
+    wanted = scoped.filter("NOT crowded").select("load_id", "doc_seq", "spans", "sought", "edge").unionByName(
+        packets, allowMissingColumns=True
     )
+    norm_pages = pages.select("load_id", "page_no", text.norm(F.col("page_text")).alias("body"), "page_conf")
+    per_page = page_ranges.list_pages(wanted).join(norm_pages, ["load_id", "page_no"])
+
+    searched = _search_pages(per_page.filter("sizes IS NULL"), len(fields))
+    hits = values.join(_strings(per_page.filter("sizes IS NOT NULL")), ["load_id", "value"])
+    hit_bits = hits.groupBy("load_id", "doc_seq").agg(F.bit_or(F.expr("shiftleft(1, i)")).alias("found"))
+    listed = crowded.select("load_id", "doc_seq", "conf").join(hit_bits, ["load_id", "doc_seq"], "left")
+    results = searched.unionByName(listed.withColumn("found", F.coalesce("found", F.lit(0))))
     return docs.withColumn("sought", sought).join(results, ["load_id", "doc_seq"], "left").select(
-        *docs.columns, "ocr_confidence", _unverified(docs).alias("unverified_fields")
+        *docs.columns, F.round("conf", 3).alias("ocr_confidence"), _unverified(docs).alias("unverified_fields")
     )
 
 
