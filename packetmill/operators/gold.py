@@ -46,17 +46,16 @@ def doc_type_of(raw: Column) -> Column:
 
 def carrier_key(dot: Column, mc: Column, scac: Column, name: Column) -> Column:
     """The best identity a document gives of its carrier: DOT, MC, SCAC or cleaned name."""
-    def keyed(prefix: str, value: Column) -> Column:
-        return F.when(value != "", F.concat(F.lit(prefix), value))
+    def digits(prefix: str, value: Column) -> Column:
+        return F.when(value.rlike("[0-9]"), F.concat(F.lit(prefix), F.regexp_replace(value, "[^0-9]", "")))
 
-    digits = "[^0-9]"
     words = F.trim(F.regexp_replace(F.regexp_replace(F.upper(name), "[^A-Z0-9 ]", ""), " +", " "))
     words = F.regexp_replace(words, f"( ({'|'.join(LEGAL_FORMS)}))+$", "")
     return F.coalesce(
-        keyed("DOT:", F.regexp_replace(dot, digits, "")),
-        keyed("MC:", F.regexp_replace(mc, digits, "")),
-        keyed("SCAC:", F.upper(F.trim(scac))),
-        keyed("NAME:", words),
+        digits("DOT:", dot),
+        digits("MC:", mc),
+        F.when(F.trim(scac) != "", F.concat(F.lit("SCAC:"), F.upper(F.trim(scac)))),
+        F.when(name.rlike("[A-Za-z0-9]"), F.concat(F.lit("NAME:"), words)),
     )
 
 

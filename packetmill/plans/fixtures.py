@@ -203,6 +203,10 @@ def _needs(name: str) -> list[str]:
     return list(dict.fromkeys(found))
 
 
+# Folders of derived tables that were written once, by source folder and name.
+_stored: dict[tuple[str, str], str] = {}
+
+
 def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -211,6 +215,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived table as a DataFrame over the given folder."""
     if name not in SQL:
         return base(spark, sf_dir, name)
+    if (sf_dir, name) in _stored:
+        return spark.read.parquet(_stored[(sf_dir, name)])
     words = set(re.findall(r"\w+", SQL[name]))
     for t in words:
         if t in SQL and t != name:
@@ -230,3 +236,14 @@ def with_tables(query: str, *names: str) -> str:
     if query.upper().startswith("WITH "):
         return f"WITH {ctes},\n{query[5:]}"
     return f"WITH {ctes}\n{query}"
+
+
+def store(spark: SparkSession, sf_dir: str, out: str, names: list[str] | None = None, files: int = 8) -> None:
+    """Write derived tables once; ``table`` then reads them instead of deriving them again.
+
+    The source tables are one file each; the written ones have several, as large tables do.
+    """
+    for name in names or list(SQL):
+        path = f"{out}/{name}"
+        table(spark, sf_dir, name).repartition(files).write.mode("overwrite").parquet(path)
+        _stored[(sf_dir, name)] = path
