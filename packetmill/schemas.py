@@ -99,6 +99,8 @@ OCR_ENTRY = T.StructType([
     T.StructField("full_text", T.StringType()),
     T.StructField("page_text", T.ArrayType(T.StringType())),
     T.StructField("page_conf", T.ArrayType(T.DoubleType())),
+    # First page of an entry that continues a large packet; absent otherwise.
+    T.StructField("first_page", T.IntegerType()),
 ])
 
 
