@@ -117,4 +117,6 @@ def run_status(results: DataFrame, total: Column, elapsed_seconds: float) -> Dat
 
 def latest_results(results: DataFrame, order: str) -> DataFrame:
     """The last reason of each load within its outcome, as a later run overwrites an earlier one."""
-    return results.groupBy("status", "load_id").agg(F.max_by("detail", F.col(order)).alias("detail"))
+    return results.groupBy("status", "load_id").agg(
+        F.max_by("detail", F.col(order)).alias("detail"), F.max(order).alias(order)
+    )

@@ -8,7 +8,7 @@ from packetmill.operators import profiles, usage
 from packetmill.plans.fixtures import table, with_tables
 from packetmill.plans.registry import query
 from packetmill.session import scratch_dir
-from packetmill.sources import writers
+from packetmill.sources import readers, writers
 
 _SUMS = """cast(coalesce(sum(ocr_pages) FILTER (WHERE NOT ocr_cached), 0) AS BIGINT) AS ocr_pages,
   cast(coalesce(sum(prompt_tokens), 0) AS BIGINT) AS in_tokens, cast(coalesce(sum(candidate_tokens), 0) AS BIGINT) AS out_tokens,
@@ -88,9 +88,12 @@ def e12_run_status(spark, sf_dir):
 @query(with_tables("""SELECT load_id, status, detail FROM run_results WHERE status <> 'ok'
 QUALIFY row_number() OVER (PARTITION BY status, load_id ORDER BY recorded DESC) = 1""", "run_results"))
 def b3_write_quarantine(spark, sf_dir):
+    """Two runs: one of the invalid files, then one of everything; the last reason must win."""
     out = scratch_dir(spark, "b3")
-    writers.write_quarantine(table(spark, sf_dir, "run_results"), out, "recorded")
-    return spark.read.parquet(out).select("load_id", "status", "detail")
+    results = table(spark, sf_dir, "run_results")
+    writers.write_quarantine(results.filter("status = 'invalid'").withColumn("recorded", F.lit("")), out, "recorded")
+    writers.write_quarantine(results, out, "recorded")
+    return readers.read_quarantine(spark, out, "recorded").select("load_id", "status", "detail")
 
 
 FIELDS = ["load_number", "line_haul", "fuel_surcharge", "weight_unit", "carrier_mc", "delivery_date"]
