@@ -133,6 +133,40 @@ def _strings(per_page: DataFrame) -> DataFrame:
     return strings.filter(~F.col("value").contains(" ")).distinct()
 
 
+def _own_pages(scoped: DataFrame, norm_pages: DataFrame) -> DataFrame:
+    """The pages of every document. The only exchange of page text."""
+    wanted = scoped.drop("conf", "crowded")
+    return page_ranges.list_pages(wanted).join(norm_pages, ["load_id", "page_no"])
+
+
+def _search_with_crowds(scoped: DataFrame, norm_pages: DataFrame, n_fields: int) -> DataFrame:
+    """Search page by page, but match the sought values of crowded packets by equality."""
+    values = scoped.filter("crowded").select(
+        "load_id", "doc_seq", "spans", "edge", "conf", F.posexplode_outer("sought").alias("i", "value")
+    )
+    # A crowded packet takes part in the page join once, as one document without values.
+    packets = values.filter("value IS NOT NULL").groupBy("load_id").agg(
+        F.any_value("spans").alias("spans"), F.max("edge").alias("edge"),
+        F.collect_set(F.length("value")).alias("sizes"),
+    )
+    per_page = _own_pages(scoped.filter("NOT crowded").unionByName(packets, allowMissingColumns=True), norm_pages)
+    searched = _search_pages(per_page.filter("sizes IS NULL"), n_fields)
+    strings = _strings(per_page.filter("sizes IS NOT NULL")).withColumn("hit", F.lit(True))
+    matched = values.join(strings, ["load_id", "value"], "left").groupBy("load_id", "doc_seq").agg(
+        F.expr("bit_or(if(hit, shiftleft(1, i), 0))").alias("found"), F.any_value("conf").alias("conf")
+    )
+    return searched.unionByName(matched)
+
+
+def has_crowds(docs: DataFrame, crowd: int) -> bool:
+    """Whether some load has more than ``crowd`` documents: one look at the load ids before planning.
+
+    Without such a load the plan can do without the second way of searching; either plan gives the
+    same result.
+    """
+    return not docs.groupBy("load_id").count().filter(F.col("count") > crowd).isEmpty()
+
+
 def check_documents(docs: DataFrame, pages: DataFrame, crowd: int = CROWD) -> DataFrame:
     """All columns of ``docs`` plus ``ocr_confidence`` and ``unverified_fields``.
 
@@ -144,6 +178,7 @@ def check_documents(docs: DataFrame, pages: DataFrame, crowd: int = CROWD) -> Da
     explode. In a load of more than ``crowd`` documents those are not searched page by page: the
     packet lists its strings of the sought sizes once, and the sought values join them by
     equality, so the work grows with the text and with the documents but not with their product.
+    Whether there is such a load is looked up when the plan is made.
     """
     fields = key_fields(docs)
     inputs = [*fields, *(e for e in schemas.EVIDENCE_FIELDS.values() if e in docs.columns)]
@@ -159,26 +194,11 @@ def check_documents(docs: DataFrame, pages: DataFrame, crowd: int = CROWD) -> Da
         F.greatest(F.coalesce(longest, F.lit(1)) - 1, F.lit(0)).alias("edge"),
         (everything & (F.col("n_docs") > crowd)).alias("crowded"),
     )
-    crowded = scoped.filter("crowded")
-    values = crowded.select("load_id", "doc_seq", "spans", "edge", F.posexplode("sought").alias("i", "value")).filter(
-        "value IS NOT NULL"
-    )
-    # A crowded packet takes part in the page join once, as one document without values.
-    packets = values.groupBy("load_id").agg(
-        F.any_value("spans").alias("spans"), F.max("edge").alias("edge"),
-        F.collect_set(F.length("value")).alias("sizes"),
-    )
-    wanted = scoped.filter("NOT crowded").select("load_id", "doc_seq", "spans", "sought", "edge").unionByName(
-        packets, allowMissingColumns=True
-    )
     norm_pages = pages.select("load_id", "page_no", text.norm(F.col("page_text")).alias("body"), "page_conf")
-    per_page = page_ranges.list_pages(wanted).join(norm_pages, ["load_id", "page_no"])
-
-    searched = _search_pages(per_page.filter("sizes IS NULL"), len(fields))
-    hits = values.join(_strings(per_page.filter("sizes IS NOT NULL")), ["load_id", "value"])
-    hit_bits = hits.groupBy("load_id", "doc_seq").agg(F.bit_or(F.expr("shiftleft(1, i)")).alias("found"))
-    listed = crowded.select("load_id", "doc_seq", "conf").join(hit_bits, ["load_id", "doc_seq"], "left")
-    results = searched.unionByName(listed.withColumn("found", F.coalesce("found", F.lit(0))))
+    if has_crowds(docs, crowd):
+        results = _search_with_crowds(scoped, norm_pages, len(fields))
+    else:
+        results = _search_pages(_own_pages(scoped, norm_pages), len(fields))
     return docs.withColumn("sought", sought).join(results, ["load_id", "doc_seq"], "left").select(
         *docs.columns, F.round("conf", 3).alias("ocr_confidence"), _unverified(docs).alias("unverified_fields")
     )
