@@ -8,7 +8,7 @@ a source never change on the way, so its total ends within one document of the t
 
 The documents of a source are dealt by hash into leaves of about LEAF units, every leaf leaves one
 undecided unit, and a reduction tree joins FAN leaves a level until one unit of the source remains,
-which is settled by chance. All chances are hashes of ids, so a rerun decides alike, however the
+which goes to the nearer side. All chances are hashes of ids, so a rerun decides alike, however the
 rows are partitioned. No text moves.
 
 Defined cases: a null or blank text has size 0 and is never taken; rows that agree in id, source
@@ -109,7 +109,7 @@ def pivot(words, p, luck, last: bool) -> np.ndarray:
         p[j], p[i] = new_j, new_i
         j = j if 0.0 < new_j < 1.0 else (i if 0.0 < new_i < 1.0 else -1)
     if last and j >= 0:
-        p[j] = float(luck[j] < p[j])
+        p[j] = float(p[j] >= 0.5)
     return p
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetmill.llm import exact_dedup, mixing
+from packetmill.llm import bpe, exact_dedup, mixing
 from packetmill.llm.common import stored, table
 
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -21,6 +23,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(docs, TOKENIZER).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 OP5_SQL = rf"""
 WITH prints AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{SPACE}', ' ', 'g')) AS text_sha256 FROM documents)
@@ -32,6 +40,7 @@ FROM prints WINDOW same AS (PARTITION BY text_sha256)
 QUERIES = {
     "op3_mixing": op3_mixing,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_bpe": op6_bpe,
 }
 ORACLES = {
     "op5_exact_dedup": OP5_SQL,
