@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetmill.llm import bpe, exact_dedup, mixing
+from packetmill.llm import bpe, exact_dedup, mixing, token_files
 from packetmill.llm.common import stored, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -29,6 +29,12 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return token_files.write_and_read(docs, TOKENIZER, end_id=2).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 OP5_SQL = rf"""
 WITH prints AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{SPACE}', ' ', 'g')) AS text_sha256 FROM documents)
@@ -41,6 +47,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_bpe": op6_bpe,
+    "op10_token_files": op10_token_files,
 }
 ORACLES = {
     "op5_exact_dedup": OP5_SQL,
