@@ -6,13 +6,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetmill.llm import bpe, exact_dedup, mixing, token_files
+from packetmill.llm import bpe, exact_dedup, mixing, secrets, token_files
 from packetmill.llm.common import stored, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secrets.find_secrets(docs).drop("text")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
 
@@ -35,6 +40,32 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def _spans_sql(no: int, rule: secrets.Rule) -> str:
+    """Per document the spans of one rule; list sums over the pieces give the positions."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, {no} AS no, '{rule.kind}' AS kind,
+         list_sum(list_transform(pieces[1:i], lambda p: length(p))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: length(h))), 0) AS s,
+         length(hits[i]) AS n
+  FROM (SELECT doc_id, pieces, hits, vals, unnest(range(1, len(hits) + 1)) AS i
+        FROM (SELECT doc_id, string_split_regex(text, '{pattern}') AS pieces, regexp_extract_all(text, '{pattern}') AS hits,
+                     regexp_extract_all(text, '{pattern}', {rule.value}) AS vals
+              FROM documents WHERE regexp_matches(text, '{pattern}')))
+  WHERE length(vals[i]) >= {rule.least}"""
+
+
+OP1_SQL = f"""
+WITH spans AS ({" UNION ALL ".join(_spans_sql(n, r) for n, r in enumerate(secrets.RULES))}),
+told AS (SELECT doc_id, no, s, concat(kind, ':', CAST(s AS BIGINT), ':', CAST(s + n AS BIGINT)) AS span FROM spans),
+lists AS (
+  SELECT doc_id, count(*) FILTER (no = 0) AS n_assign, count(*) FILTER (no = 1) AS n_access, count(*) FILTER (no = 2) AS n_hex,
+         string_agg(span, ',' ORDER BY s, no) FILTER (no < 3) AS base, string_agg(span, ',' ORDER BY s, no) AS spans
+  FROM told GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN lists USING (doc_id)
+"""
+
 OP5_SQL = rf"""
 WITH prints AS (
   SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '{SPACE}', ' ', 'g')) AS text_sha256 FROM documents)
@@ -44,11 +75,13 @@ FROM prints WINDOW same AS (PARTITION BY text_sha256)
 """
 
 QUERIES = {
+    "op1_secrets": op1_secrets,
     "op3_mixing": op3_mixing,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_bpe": op6_bpe,
     "op10_token_files": op10_token_files,
 }
 ORACLES = {
+    "op1_secrets": OP1_SQL,
     "op5_exact_dedup": OP5_SQL,
 }
