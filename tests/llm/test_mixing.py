@@ -1,0 +1,110 @@
+"""Mixing: targets by hand, totals near them, nobody too often, the same on every run."""
+
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from packetmill.llm import mixing
+
+
+def plain_targets(sizes, weights=(5, 2, 1), most=3):
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order) if True}
+    total, full = sum(sizes.values()), set()
+    while True:
+        free = [s for s in order if s not in full and sizes[s]]
+        rest = total - sum(most * sizes[s] for s in full)
+        level = rest / sum(weight[s] for s in free) if free else 0
+        above = {s for s in free if level * weight[s] > most * sizes[s]}
+        if not above:
+            return {s: most * sizes[s] if s in full else level * weight[s] if sizes[s] else 0.0 for s in order}
+        full |= above
+
+
+def rows(n=3000, seed=1):
+    rng = np.random.default_rng(seed)
+    names = ["b", "a", None, "é", "z", "\U0001F600", "￿", "empty"]
+    share = [0.5, 0.002, 0.1, 0.1, 0.1, 0.1, 0.078, 0.02]
+    out = []
+    for i in range(n):
+        source = names[rng.choice(len(names), p=share)]
+        words = 0 if source == "empty" else int(rng.pareto(1.5) * 20) + (i % 7)
+        out.append((i if i % 500 else None, "w " * words if words else (None if i % 2 else " \t"), source, i))
+    return out + [(1, "same doc twice", "b", -1)] * 3
+
+
+@pytest.fixture(scope="module")
+def table(spark):
+    return spark.createDataFrame(rows(), "doc_id long, text string, source string, copies int")
+
+
+def size(text):
+    return len(re.findall("[^\x20\x09-\x0d]+", text or ""))
+
+
+def test_targets_and_totals(table):
+    got = mixing.mix_sizes(table).collect()
+    docs = rows()
+    assert len(got) == len(docs)
+    sizes, longest, source = defaultdict(int), defaultdict(int), {}
+    for i, text, s, _ in docs:
+        sizes[s] += size(text)
+        longest[s] = max(longest[s], size(text))
+        source[i] = s
+    targets = plain_targets(sizes)
+    taken = defaultdict(int)
+    for r in got:
+        assert r["taken"] <= 3 * r["size"] and (not r["size"] or r["taken"] % r["size"] == 0)
+    by_facts = {(sizes[s], round(t, 6)) for s, t in targets.items()}
+    assert {(r["source_size"], round(r["target"], 6)) for r in got} == by_facts
+    for r in got:
+        taken[(r["source_size"], round(r["target"], 6))] += r["taken"]
+    for s, t in targets.items():
+        assert abs(taken[(sizes[s], round(t, 6))] - t) <= 0.5 * longest[s] + 1
+
+
+def test_reruns_and_partitions_agree(table):
+    one = sorted(map(str, mixing.mix_sizes(table).collect()))
+    assert one == sorted(map(str, mixing.mix_sizes(table.repartition(13)).collect()))
+
+
+def test_mix_repeats_rows(table):
+    sizes = defaultdict(int)
+    for r in mixing.mix_sizes(table).collect():
+        sizes[r["doc_id"], r["size"]] += r["taken"]
+    mix = mixing.mixed(table)
+    assert mix.columns == table.columns
+    got = defaultdict(int)
+    for r in mix.collect():
+        got[r["doc_id"], size(r["text"])] += size(r["text"])
+    assert got == {k: v for k, v in sizes.items() if v}
+
+
+def test_empty(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, source string")
+    assert mixing.mix_sizes(docs).collect() == [] and mixing.mixed(docs).collect() == []
+    blank = spark.createDataFrame([(1, None, None), (2, "", "a")], "doc_id long, text string, source string")
+    assert {tuple(r) for r in mixing.mix_sizes(blank).collect()} == {(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)}
+
+
+def test_pivot_keeps_the_sum_and_the_chances():
+    rng = np.random.default_rng(5)
+    total, n = np.zeros(6), 4000
+    words, p = np.array([50.0, 40, 9, 5, 3, 1]), np.array([0.3, 0.6, 0.5, 0.2, 0.9, 0.4])
+    for _ in range(n):
+        out = mixing.pivot(words, p, rng.random(6), False)
+        assert abs(words @ out - words @ p) < 1e-6
+        assert ((out > 1e-9) & (out < 1 - 1e-9)).sum() <= 1
+        total += out
+    assert np.abs(total / n - p).max() < 0.04
+
+
+def test_levels_of_the_tree(spark):
+    """Small leaves: several levels, the same totals."""
+    docs = spark.createDataFrame([(i, 1 + i % 9, "0a" if i % 3 else "0b") for i in range(9000)], "id long, size long, key string")
+    facts, units = mixing.copies(docs, leaf=2)
+    got = mixing.with_copies(docs, facts, units).groupBy("key", "target").agg({"*": "count"}).count()
+    taken = mixing.with_copies(docs, facts, units).selectExpr("key", "target", "size * copies t").groupBy("key", "target").sum("t").collect()
+    assert got == 2 and all(abs(r["sum(t)"] - r["target"]) <= 9 for r in taken)
