@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetmill.llm import bpe, exact_dedup, jaccard, mixing, secrets, token_files
+from packetmill.llm import bpe, exact_dedup, jaccard, langid, mixing, quality, secrets, token_files
 from packetmill.llm.common import stored, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -18,10 +18,20 @@ def op1_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(docs).drop("text")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return langid.identify(docs).drop("text", "lang")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sizes(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality.score_ids(docs, table(spark, sf_dir, "labels"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     prints = exact_dedup.add_fingerprint(table(spark, sf_dir, "documents")).drop("row")
     marked = exact_dedup.mark_repeats(stored(prints, "fingerprints"))
@@ -80,7 +90,9 @@ FROM prints WINDOW same AS (PARTITION BY text_sha256)
 
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_language_id": op2_language_id,
     "op3_mixing": op3_mixing,
+    "op4_quality": op4_quality,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_bpe": op6_bpe,
     "op9_jaccard_join": op9_jaccard_join,
