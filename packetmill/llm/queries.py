@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetmill.llm import bpe, exact_dedup, jaccard, langid, mixing, quality, secrets, token_files
+from packetmill.llm import bpe, exact_dedup, html_text, jaccard, langid, mixing, quality, secrets, token_files
 from packetmill.llm.common import stored, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -44,6 +44,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages")).drop("html")
+
+
 def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join_components(table(spark, sf_dir, "documents"))
 
@@ -95,6 +99,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_bpe": op6_bpe,
+    "op8_html_text": op8_html_text,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_files": op10_token_files,
 }
