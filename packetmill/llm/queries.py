@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetmill.llm import bpe, exact_dedup, html_text, jaccard, langid, mixing, quality, secrets, token_files
+from packetmill.llm import bpe, exact_dedup, html_text, jaccard, langid, mixing, quality, secrets, token_files, topk
 from packetmill.llm.common import stored, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -44,6 +44,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), 20, lambda vec_id: vec_id % 20 == 0)
+
+
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages")).drop("html")
 
@@ -92,6 +96,18 @@ SELECT doc_id, min(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM prints WINDOW same AS (PARTITION BY text_sha256)
 """
 
+OP7_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 64)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+WHERE rank <= 20
+"""
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_language_id": op2_language_id,
@@ -99,6 +115,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_bpe": op6_bpe,
+    "op7_topk": op7_topk,
     "op8_html_text": op8_html_text,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_files": op10_token_files,
@@ -106,4 +123,5 @@ QUERIES = {
 ORACLES = {
     "op1_secrets": OP1_SQL,
     "op5_exact_dedup": OP5_SQL,
+    "op7_topk": OP7_SQL,
 }
