@@ -179,6 +179,8 @@ def classify(found: list[Block]) -> list[Block]:
             room = found[i].room or None
             out[i] = (last[room], gap[room]) if room in last else None
             for key in {room, None}:
+                if key and found[i].boilerplate:
+                    continue  # an advert inside an article says nothing about the text beside it
                 if decided[i] is not None:
                     last[key], gap[key] = decided[i], 0
                 elif key in last:

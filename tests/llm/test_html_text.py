@@ -1,0 +1,67 @@
+"""Main text of pages written by hand, and of the given pages against their article elements."""
+
+import html
+import re
+
+import pytest
+
+from packetmill.llm import html_text
+
+LONG = "The history of the town is long and it was written by many people who lived in the valley for years."
+LONG2 = "It is said that the river was once wider, and the bridge that crosses it to this day is the oldest of them all."
+
+PAGES = [
+    (f"<html><body><nav><a href=/>Home</a></nav><article><h1>Town</h1><p>{LONG}</p></article><footer>{LONG2}</footer></body></html>", f"Town {LONG}"),
+    (f"<div id=menu><ul><li><a>One</a><li><a>Two</a></ul></div><div class='content'><h2>Title</h2><p>{LONG}<br>{LONG2}</p><p>Short.</p><p>{LONG2}</p></div>",
+     f"Title {LONG} {LONG2} Short. {LONG2}"),
+    (f"<article><p>{LONG}<p>Tom &amp; Jerry&nbsp;&lt;b&gt; &#8364; &eacute; &amp;amp;</p><script>var a='</p>';</script><style>p{{}}</style><p>{LONG2}",
+     f"{LONG} Tom & Jerry <b> € é &amp; {LONG2}"),
+    (f"<body><p>{LONG}</p><div class='comments'><p>{LONG2}</p></div><aside>{LONG2}</aside><form>{LONG2}</form><div class=\"cookie-notice\">{LONG2}</div></body>", LONG),
+    (f"<article><p>{LONG}</p><!-- <p>{LONG2}</p> --><div class=ad>{LONG2}</div><p>So <b>bo</b>ld <i>it</i> is.</p></article>", f"{LONG} So bold it is."),
+    (f"<header><h1>Site</h1></header><main><header><h1>Real title</h1></header><p>{LONG}</p></main>", f"Real title {LONG}"),
+    (f"<p>{LONG}</p><p><a href=x>{LONG2}</a></p>", LONG),
+    ("<article><p>Tiny.</p></article>", "Tiny."),
+    ("<p>Tiny.</p>", ""),
+    (f"<article><p>{LONG}</p><p>cut off <b", f"{LONG} cut off"),
+    (f"<article><p>{LONG}</p><p>a &am", f"{LONG} a &am"),
+    (f"<article><p title='a > b'>{LONG}</p><!-- never closed <p>{LONG2}</p>", LONG),
+    (f"<article><p>{LONG}</p><script>never closed {LONG2}", LONG),
+    (f"<article><p>a < b and c > d</p><p>{LONG}</p><p>{LONG}</p></article>", f"a < b and c > d {LONG} {LONG}"),
+    (f"<article><table><tr><td>cell one<td>cell two</table><p>{LONG}</p><pre>  code\n\tline </pre></article>", f"cell one cell two {LONG} code line"),
+    (f"<div role=navigation>{LONG2}</div><div hidden>{LONG2}</div><div style='display: none'>{LONG2}</div><p>{LONG}</p>", LONG),
+    ("", ""), (None, ""), ("   ", ""), ("plain words only", ""), ("<", ""), ("<article>" * 2000 + LONG, LONG),
+]
+
+
+@pytest.mark.parametrize("page,want", PAGES)
+def test_page(page, want):
+    assert html_text.main_text(page) == want
+
+
+def test_neighbours_decide_short_blocks():
+    found = html_text.classify(html_text.blocks(
+        f"<div>one</div><p>{LONG}</p><div>two</div><p>{LONG2}</p><div>three</div><div class=ad>x</div><div>four</div>"))
+    assert [b.good for b in found] == [True, True, True, True, True, False, False]
+
+
+def test_table(spark):
+    rows = [(i, f"u{i}", p, "mine") for i, (p, _) in enumerate(PAGES)] + [(0, "u0", PAGES[0][0], "again"), (None, None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    out = html_text.extract(pages)
+    assert out.columns == ["page_id", "url", "html", "text", "n_chars"]
+    got = sorted((str(r["page_id"]), r["text"], r["n_chars"]) for r in out.collect())
+    want = [t for _, t in PAGES] + [PAGES[0][1], ""]
+    assert got == sorted((str(r[0]), t, len(t)) for r, t in zip(rows, want))
+    assert html_text.extract(pages.limit(0)).collect() == []
+
+
+def test_given_pages(spark):
+    from packetmill.llm.queries import QUERIES
+
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()}
+    got = QUERIES["op8_html_text"](spark, "/root/testdata/sf0.01").collect()
+    assert len(got) == len(pages) and {"page_id", "url", "text", "n_chars"} <= set(got[0].asDict())
+    for r in got:
+        article = re.search(r"<article>(.*?)(</article>|$)", pages[r["page_id"]], re.S)[1]
+        want = " ".join(html.unescape(re.sub(r"<[^>]*>", " ", re.sub(r"</?b>", "", article))).split())
+        assert (r["text"], r["n_chars"]) == (want, len(want))
