@@ -6,7 +6,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetmill.functions import page_ranges, text
@@ -14,24 +14,42 @@ from packetmill.operators.joins import join_summary
 
 # Pages whose text is put into one string; a longer text continues in a further part.
 PART = 1024
+# Pages beyond which a document counts as wide: it may be searched by value instead of page by page.
+WIDE = 64
 
 
 def page_stats(pages: DataFrame) -> DataFrame:
-    """Pages and confidence totals per load; the text is not read."""
+    """Pages, the last page's number, and confidence totals per load; the text is not read."""
     return pages.groupBy("load_id").agg(
-        F.count("*").alias("n_pages"), F.sum("page_conf").alias("conf_sum"), F.count("page_conf").alias("conf_n")
+        F.count("*").alias("n_pages"), F.max("page_no").alias("last_page"),
+        F.sum("page_conf").alias("conf_sum"), F.count("page_conf").alias("conf_n"),
     )
 
 
+def is_wide(page_range: Column) -> Column:
+    """The range names more than WIDE pages, or none, which means the whole packet."""
+    return ~F.coalesce(page_ranges.named_pages(page_range).between(1, WIDE), F.lit(False))
+
+
 def load_stats(docs: DataFrame, pages: DataFrame) -> DataFrame:
-    """``page_stats`` and the number of documents per load, from one grouping of both tables."""
-    both = pages.select("load_id", F.lit(1).alias("page"), "page_conf", F.lit(0).alias("doc")).unionByName(
-        docs.select("load_id", F.lit(0).alias("page"), F.lit(None).cast("double").alias("page_conf"), F.lit(1).alias("doc"))
+    """``page_stats``, the number of wide documents and the missing pages per load.
+
+    Both tables are grouped once. ``missing`` holds the gaps between page numbers as spans; only the
+    numbers of loads that have gaps are looked at for it.
+    """
+    both = pages.select("load_id", "page_no", "page_conf").unionByName(
+        docs.select("load_id", is_wide(F.col("page_range")).cast("int").alias("wide")), allowMissingColumns=True
     )
-    return both.groupBy("load_id").agg(
-        F.sum("page").alias("n_pages"), F.sum("page_conf").alias("conf_sum"),
-        F.count("page_conf").alias("conf_n"), F.sum("doc").alias("n_docs"),
+    stats = both.groupBy("load_id").agg(
+        F.count("page_no").alias("n_pages"), F.max("page_no").alias("last_page"), F.sum("page_conf").alias("conf_sum"),
+        F.count("page_conf").alias("conf_n"), F.coalesce(F.sum("wide"), F.lit(0)).alias("n_wide"),
     )
+    gappy = stats.filter("n_pages < last_page").select("load_id")
+    before = F.coalesce(F.lag("page_no").over(Window.partitionBy("load_id").orderBy("page_no")), F.lit(0))
+    gaps = join_summary(pages.select("load_id", "page_no"), gappy, ["load_id"], "left_semi").withColumn("before", before)
+    gaps = gaps.filter("page_no > before + 1").groupBy("load_id").agg(F.collect_list(F.struct(
+        (F.col("before") + 1).cast("bigint").alias("first"), (F.col("page_no") - 1).cast("bigint").alias("last"))).alias("missing"))
+    return stats.join(gaps, "load_id", "left")
 
 
 def page_confidence(tokens: DataFrame) -> DataFrame:
@@ -43,20 +61,53 @@ def page_confidence(tokens: DataFrame) -> DataFrame:
 
 
 def with_scope(docs: DataFrame, pages: DataFrame) -> DataFrame:
-    """Add ``spans`` (the document's existing pages), ``fallback`` and the load's page totals.
+    """Add ``spans`` (the document's pages up to the last one), ``fallback`` and the load's totals.
 
-    A range that names no existing page falls back to the whole packet.
+    A range that names no existing page falls back to the whole packet. Only where pages are absent
+    does that need a look at the page numbers themselves.
     """
     # The range is parsed below the join, where filters on the result cannot repeat the work.
     parsed = docs.withColumn("_named", page_ranges.page_spans(F.col("page_range")))
-    n = F.coalesce(F.col("n_pages"), F.lit(0))
+    last = F.coalesce(F.col("last_page"), F.lit(0))
     rows = join_summary(parsed, load_stats(docs, pages), ["load_id"]).withColumn(
-        "_own", page_ranges.clip_spans(F.col("_named"), n)
+        "_own", page_ranges.clip_spans(F.col("_named"), last)
     )
+    missing = F.coalesce("missing", F.array().cast(page_ranges.SPANS_TYPE))
+
+    def has_page(s: Column) -> Column:
+        return ~F.exists(missing, lambda m: (m["first"] <= s["first"]) & (s["last"] <= m["last"]))
+
+    real = F.exists("_own", has_page)
     return rows.withColumns({
-        "fallback": F.size("_own") == 0,
-        "spans": F.when(F.size("_own") == 0, page_ranges.whole_packet(n)).otherwise(F.col("_own")),
-    }).drop("_own", "_named")
+        "fallback": ~real, "spans": F.when(real, F.col("_own")).otherwise(page_ranges.whole_packet(last)),
+    }).drop("_own", "_named", "missing")
+
+
+def confidence_sums(scoped: DataFrame, pages: DataFrame) -> DataFrame:
+    """``load_id, doc_seq, conf_sum, conf_n`` over the pages of each document's ``spans``.
+
+    No document's pages are listed: running totals over a load's pages are read before the first
+    and at the last page of every span. The totals are taken within blocks of pages and over the
+    blocks, so a packet of any size spreads; they are decimals, so no order of adding matters.
+    """
+    exact = F.col("page_conf").cast("decimal(38,18)")
+    known = pages.select("load_id", F.col("page_no").cast("bigint").alias("at"),
+                         F.struct(F.coalesce(exact, F.lit(0)).cast("decimal(38,18)").alias("s"), exact.isNotNull().cast("int").alias("n")).alias("v"))
+    ends = F.array(F.struct((F.col("span.first") - 1).alias("at"), F.lit(-1).alias("sign")), F.struct(F.col("span.last").alias("at"), F.lit(1).alias("sign")))
+    asked = scoped.select("load_id", "doc_seq", F.explode("spans").alias("span")).select("load_id", "doc_seq", F.inline(ends))
+    events = known.unionByName(asked, allowMissingColumns=True).withColumn("block", F.floor(F.col("at") / page_ranges.RUN))
+    inside = Window.partitionBy("load_id", "block").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    earlier = Window.partitionBy("load_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = events.groupBy("load_id", "block").agg(F.sum("v.s").alias("s"), F.sum("v.n").alias("n")).select(
+        "load_id", "block", F.sum("s").over(earlier).alias("s0"), F.sum("n").over(earlier).alias("n0"))
+    rows = events.withColumns({"s": F.sum("v.s").over(inside), "n": F.sum("v.n").over(inside)}).filter("sign IS NOT NULL")
+    rows = rows.join(blocks, ["load_id", "block"])
+
+    def total(here: str, before: str) -> Column:
+        return F.sum(F.col("sign") * (F.coalesce(here, F.lit(0)) + F.coalesce(before, F.lit(0))))
+
+    return rows.groupBy("load_id", "doc_seq").agg(
+        total("s", "s0").cast("double").alias("conf_sum"), total("n", "n0").cast("bigint").alias("conf_n"))
 
 
 def docs_to_pages(docs: DataFrame, pages: DataFrame) -> DataFrame:
@@ -71,19 +122,11 @@ def docs_to_pages(docs: DataFrame, pages: DataFrame) -> DataFrame:
 
 def doc_confidence(docs: DataFrame, pages: DataFrame) -> DataFrame:
     """Mean page confidence over the document's pages, the packet's mean without any, 3 decimals."""
-    scoped = with_scope(docs.select("load_id", "doc_seq", "page_range"), pages).select(
-        "load_id", "doc_seq", "spans", "fallback", (F.col("conf_sum") / F.nullif(F.col("conf_n"), F.lit(0))).alias("packet_conf")
-    )
-    listed = page_ranges.list_pages(scoped.filter(~F.col("fallback")).select("load_id", "doc_seq", "spans"))
-    own = (
-        listed.join(pages.select("load_id", "page_no", "page_conf"), ["load_id", "page_no"])
-        .groupBy("load_id", "doc_seq")
-        .agg(F.avg("page_conf").alias("own_conf"))
-    )
-    conf = F.round(F.coalesce("own_conf", "packet_conf"), 3)
-    return scoped.join(own, ["load_id", "doc_seq"], "left").select(
-        "load_id", "doc_seq", conf.alias("ocr_confidence")
-    )
+    scoped = with_scope(docs.select("load_id", "doc_seq", "page_range"), pages).select("load_id", "doc_seq", "spans")
+    sums = confidence_sums(scoped, pages)
+    conf = F.round(F.col("conf_sum") / F.nullif(F.col("conf_n"), F.lit(0)), 3)
+    return docs.select("load_id", "doc_seq").join(sums, ["load_id", "doc_seq"], "left").select(
+        "load_id", "doc_seq", conf.alias("ocr_confidence"))
 
 
 def _joined(order: list[str], value: Column, separator: str) -> Column:
@@ -147,15 +190,17 @@ def slice_page_text(chunks: DataFrame) -> DataFrame:
     """Cut each page's text out of its chunk: the ``[start, end)`` segments in order, joined.
 
     ``chunks``: ``load_id, chunk_no, chunk_text, pages array<array<struct<start,end>>>``, the
-    segments of each page of the chunk.
+    segments of each page of the chunk, and optionally ``page_confs``, the pages' confidences.
     """
     chunk_text = F.col("chunk_text")
     cut = F.transform(
         F.col("segments"), lambda s: F.substr(chunk_text, s["start"] + 1, s["end"] - s["start"])
     )
-    per_page = chunks.select("load_id", "chunk_no", "chunk_text", F.posexplode("pages").alias("page_pos", "segments"))
+    confs = ["page_confs"] if "page_confs" in chunks.columns else []
+    per_page = chunks.select("load_id", "chunk_no", "chunk_text", *confs, F.posexplode("pages").alias("page_pos", "segments"))
     return per_page.select(
-        "load_id", "chunk_no", "page_pos", F.array_join(F.coalesce(cut, F.array().cast("array<string>")), "").alias("page_text")
+        "load_id", "chunk_no", "page_pos", F.array_join(F.coalesce(cut, F.array().cast("array<string>")), "").alias("page_text"),
+        *[F.get(c, F.col("page_pos")).alias("page_conf") for c in confs],
     )
 
 

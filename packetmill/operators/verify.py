@@ -9,18 +9,21 @@ blank stands for what was left out between two edges.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetmill import schemas
 from packetmill.functions import page_ranges, text
-from packetmill.operators.pages import with_scope
+from packetmill.operators.joins import join_summary
+from packetmill.operators.pages import WIDE, confidence_sums, with_scope
 
 # Evidence longer than this is not trusted, and values shorter than this are not checked.
 MAX_EVIDENCE = 64
 MIN_LENGTH = 3
-# Documents of one packet that may each be checked against all of its pages one by one.
-CROWD = 1000
+# Wide documents times pages up to which a load's wide documents are searched page by page.
+HEAVY = 1_000_000
+# The longest value that is looked up among the strings of the pages; longer ones go page by page.
+LONGEST = 256
 # Documents below this confidence go to review.
 REVIEW_CONFIDENCE = 0.80
 
@@ -85,8 +88,6 @@ def _put_together(pieces: DataFrame, keys: list[str], order: list[str], n_fields
         F.any_value("sought").alias("sought"),
         F.any_value("edge").alias("edge"),
         F.bit_or("found").alias("found"),
-        F.sum("conf_sum").alias("conf_sum"),
-        F.sum("conf_n").alias("conf_n"),
     ).withColumns({
         "found": F.col("found").bitwiseOR(_found_in(n_fields)),
         "body": _edges(F.col("body")),
@@ -94,111 +95,118 @@ def _put_together(pieces: DataFrame, keys: list[str], order: list[str], n_fields
 
 
 def _search_pages(per_page: DataFrame, n_fields: int) -> DataFrame:
-    """Search every page for what its document seeks; ``load_id, doc_seq, found, conf``."""
+    """Search every page for what its document seeks; ``load_id, doc_seq, found``."""
     searched = per_page.withColumns({
         "found": _found_in(n_fields),
         "body": _edges(F.col("body")),
-        "conf_sum": F.col("page_conf"),
-        "conf_n": F.when(F.col("page_conf").isNotNull(), 1).otherwise(0),
     })
     stretches = _put_together(searched, ["span_no", "run"], ["page_no"], n_fields)
     checked = _put_together(stretches, [], ["span_no", "run"], n_fields)
-    conf = F.col("conf_sum") / F.nullif(F.col("conf_n"), F.lit(0))
-    return checked.select("load_id", "doc_seq", "found", conf.alias("conf"))
-
-
-def _strings(per_page: DataFrame) -> DataFrame:
-    """Every distinct string of a sought size in the text of whole packets: ``load_id, value``.
-
-    Strings inside a page come from the page; strings over a page break come from the edges of a
-    stretch of pages, then from the edges of the stretches.
-    """
-    def seams(pieces: DataFrame, keys: list[str], order: str) -> DataFrame:
-        parts = F.array_sort(F.collect_list(F.struct(F.col(order), _edges(F.col("body")).alias("body"))))
-        return pieces.groupBy("load_id", *keys).agg(
-            F.array_join(parts["body"], "").alias("body"),
-            F.any_value("edge").alias("edge"),
-            F.any_value("sizes").alias("sizes"),
-        )
-
-    stretches = seams(per_page, ["run"], "page_no")
-    columns = ["load_id", "body", "sizes"]
-    texts = per_page.select(*columns).unionByName(stretches.select(*columns))
-    texts = texts.unionByName(seams(stretches, [], "run").select(*columns))
-    sized = texts.select("load_id", "body", F.explode("sizes").alias("size")).filter(F.length("body") >= F.col("size"))
-    starts = F.explode(F.sequence(F.lit(1), F.length("body") - F.col("size") + 1))
-    strings = sized.select("load_id", "body", "size", starts.alias("at")).select(
-        "load_id", F.substr("body", F.col("at"), F.col("size")).alias("value")
-    )
-    return strings.filter(~F.col("value").contains(" ")).distinct()
+    return checked.select("load_id", "doc_seq", "found")
 
 
 def _own_pages(scoped: DataFrame, norm_pages: DataFrame) -> DataFrame:
-    """The pages of every document. The only exchange of page text."""
-    wanted = scoped.drop("conf", "crowded")
+    """The pages of every document."""
+    wanted = scoped.select("load_id", "doc_seq", "spans", "sought", "edge")
     return page_ranges.list_pages(wanted).join(norm_pages, ["load_id", "page_no"])
 
 
-def _search_with_crowds(scoped: DataFrame, norm_pages: DataFrame, n_fields: int) -> DataFrame:
-    """Search page by page, but match the sought values of crowded packets by equality."""
-    values = scoped.filter("crowded").select(
-        "load_id", "doc_seq", "spans", "edge", "conf", F.posexplode_outer("sought").alias("i", "value")
-    )
-    # A crowded packet takes part in the page join once, as one document without values.
-    packets = values.filter("value IS NOT NULL").groupBy("load_id").agg(
-        F.any_value("spans").alias("spans"), F.max("edge").alias("edge"),
-        F.collect_set(F.length("value")).alias("sizes"),
-    )
-    per_page = _own_pages(scoped.filter("NOT crowded").unionByName(packets, allowMissingColumns=True), norm_pages)
-    searched = _search_pages(per_page.filter("sizes IS NULL"), n_fields)
-    strings = _strings(per_page.filter("sizes IS NOT NULL")).withColumn("hit", F.lit(True))
-    matched = values.join(strings, ["load_id", "value"], "left").groupBy("load_id", "doc_seq").agg(
-        F.expr("bit_or(if(hit, shiftleft(1, i), 0))").alias("found"), F.any_value("conf").alias("conf")
-    )
-    return searched.unionByName(matched)
-
-
-def has_crowds(docs: DataFrame, crowd: int) -> bool:
-    """Whether some load has more than ``crowd`` documents: one look at the load ids before planning.
+def _page_strings(pages: DataFrame) -> DataFrame:
+    """``load_id, value, first, last``: strings of the sought sizes and the pages they run over.
 
-    Without such a load the plan can do without the second way of searching; either plan gives the
-    same result.
+    ``pages`` are non-blank and carry the load's ``sizes`` and ``edge``. A string inside a page comes
+    from its text. A string over page breaks starts in the end of one page and goes on into the
+    beginnings of the following ones, which are gathered in stretches of RUN page numbers and, at a
+    stretch's end, from the beginnings of the next stretches.
     """
-    return not docs.groupBy("load_id").count().filter(F.col("count") > crowd).isEmpty()
+    sized = pages.select("load_id", "page_no", "body", F.explode("sizes").alias("size")).filter(F.length("body") >= F.col("size"))
+    starts = F.explode(F.sequence(F.lit(1), F.length("body") - F.col("size") + 1))
+    inside = sized.select("load_id", "page_no", "body", "size", starts.alias("at")).select(
+        "load_id", F.substr("body", F.col("at"), F.col("size")).alias("value"), F.col("page_no").alias("first"), F.col("page_no").alias("last"))
+
+    # Beginnings as text and, character by character, the page each one lies on.
+    def text_of(parts: Column) -> Column:
+        return F.array_join(F.transform(parts, lambda x: x["head"]), "")
 
+    def numbers_of(parts: Column) -> Column:
+        return F.flatten(F.transform(parts, lambda x: F.array_repeat(x["page_no"], F.length(x["head"]))))
 
-def check_documents(docs: DataFrame, pages: DataFrame, crowd: int = CROWD) -> DataFrame:
+    edge = F.col("edge")
+    stretch = F.floor((F.col("page_no") - 1) / page_ranges.RUN)
+    piece = F.struct("page_no", F.left("body", edge).alias("head"), F.right("body", edge).alias("tail"))
+    stretches = pages.groupBy("load_id", stretch.alias("stretch")).agg(
+        F.array_sort(F.collect_list(piece)).alias("pieces"), F.any_value("edge").alias("edge"), F.any_value("sizes").alias("sizes"))
+    # Every page has a character, so LONGEST of them always reach far enough.
+    lead = stretches.select("load_id", "stretch", F.slice("pieces", 1, LONGEST).alias("lead"))
+    following = Window.partitionBy("load_id").orderBy("stretch").rowsBetween(1, LONGEST)
+    lead = lead.select("load_id", "stretch", F.slice(F.flatten(F.collect_list("lead").over(following)), 1, LONGEST).alias("next"))
+    rows = stretches.join(lead, ["load_id", "stretch"])
+    all_pieces = F.concat("pieces", "next")
+    rows = rows.select("load_id", "edge", "sizes", F.posexplode("pieces").alias("i", "piece"), all_pieces.alias("all")).select(
+        "load_id", "edge", "sizes", F.col("piece.page_no").alias("first"), F.col("piece.tail").alias("tail"),
+        F.slice("all", F.col("i") + 2, LONGEST).alias("after"))
+    rows = rows.select("load_id", "sizes", "first", "tail", F.left(text_of(F.col("after")), edge).alias("after"),
+                       numbers_of(F.col("after")).alias("numbers"))
+    rows = rows.filter("after <> ''").select("*", F.explode("sizes").alias("size")).filter("size > 1")
+    # k characters from the end of the page, the others from what follows.
+    least, most = F.greatest(F.col("size") - F.length("after"), F.lit(1)), F.least(F.length("tail"), F.col("size") - 1)
+    crossing = rows.filter(least <= most).withColumn("k", F.explode(F.sequence(least, most))).select(
+        "load_id", F.concat(F.right("tail", F.col("k")), F.left("after", F.col("size") - F.col("k"))).alias("value"),
+        "first", F.get("numbers", F.col("size") - F.col("k") - 1).alias("last"))
+    return inside.unionByName(crossing)
+
+
+def _search_by_value(by_value: DataFrame, norm_pages: DataFrame) -> DataFrame:
+    """``load_id, doc_seq, found`` of documents of one long span, without listing their pages.
+
+    Every load's strings of the sought sizes are taken from its pages once. The sought values stand
+    among them, in page order: a value is found if, of its occurrences that start at or after the
+    span's first page, one ends by its last.
+    """
+    spans = by_value.select("load_id", "doc_seq", "sought", F.get("spans", F.lit(0)).alias("span"))
+    values = spans.select("load_id", "doc_seq", F.col("span.first").alias("first"), F.col("span.last").alias("until"),
+                          F.posexplode("sought").alias("i", "value")).filter("value IS NOT NULL")
+    lengths = spans.select("load_id", F.explode(F.transform("sought", lambda v: F.length(v))).alias("size")).filter("size IS NOT NULL")
+    per_load = lengths.groupBy("load_id").agg(F.max("size").alias("edge"), F.collect_set("size").alias("sizes"))
+    strings = _page_strings(join_summary(norm_pages.filter("body <> ''"), per_load, ["load_id"], "inner"))
+    events = strings.select("load_id", "value", F.col("first").cast("bigint").alias("first"), "last").unionByName(values, allowMissingColumns=True)
+    later = Window.partitionBy("load_id", "value").orderBy(F.desc("first")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    hit = F.coalesce(F.min("last").over(later) <= F.col("until"), F.lit(False))
+    answers = events.withColumn("hit", hit).filter("doc_seq IS NOT NULL")
+    return answers.groupBy("load_id", "doc_seq").agg(F.expr("bit_or(if(hit, shiftleft(1, i), 0))").alias("found"))
+
+
+def check_documents(docs: DataFrame, pages: DataFrame, heavy: int = HEAVY) -> DataFrame:
     """All columns of ``docs`` plus ``ocr_confidence`` and ``unverified_fields``.
 
-    The page text crosses the network once, keyed by load and page; everything after that is a
-    few bytes per page. Pages are put together in stretches of bounded length first, so that a
-    document of any size stays spread.
+    Documents are searched page by page: the page text crosses the network once, keyed by load and
+    page, and everything after that is a few bytes per page. Pages are put together in stretches of
+    bounded length first, so that a document of any size stays spread.
 
-    Documents that refer to a whole packet are the one case where documents times pages could
-    explode. In a load of more than ``crowd`` documents those are not searched page by page: the
-    packet lists its strings of the sought sizes once, and the sought values join them by
-    equality, so the work grows with the text and with the documents but not with their product.
-    Whether there is such a load is looked up when the plan is made.
+    That would explode where very many documents of a load each cover very many pages. In a load
+    whose wide documents times pages exceed ``heavy``, those with one span are searched by value:
+    the work then grows with the text and with the documents, not with their product. The choice is
+    made per document from columns of the plan itself; both ways give the same result.
     """
     fields = key_fields(docs)
     inputs = [*fields, *(e for e in schemas.EVIDENCE_FIELDS.values() if e in docs.columns)]
     sought = sought_values(docs)
-    longest = F.array_max(F.transform("sought", lambda v: F.length(v)))
+    longest = F.coalesce(F.array_max(F.transform("sought", lambda v: F.length(v))), F.lit(0))
     keyed = docs.select("load_id", "doc_seq", "page_range", *inputs).select(
         "load_id", "doc_seq", "page_range", sought.alias("sought")
     )
-    first = F.get("spans", F.lit(0))
-    everything = (F.size("spans") == 1) & (first["first"] == 1) & (first["last"] == F.col("n_pages"))
+    wide = (F.size("spans") == 1) & (page_ranges.span_pages(F.col("spans")) > WIDE) & (longest <= LONGEST)
     scoped = with_scope(keyed, pages).select(
-        "load_id", "doc_seq", "spans", "sought", (F.col("conf_sum") / F.nullif(F.col("conf_n"), F.lit(0))).alias("conf"),
-        F.greatest(F.coalesce(longest, F.lit(1)) - 1, F.lit(0)).alias("edge"),
-        (everything & (F.col("n_docs") > crowd)).alias("crowded"),
+        "load_id", "doc_seq", "spans", "sought", F.greatest(longest - 1, F.lit(0)).alias("edge"),
+        F.coalesce(wide & (F.col("n_wide") * F.col("last_page") > heavy), F.lit(False)).alias("by_value"),
     )
-    norm_pages = pages.select("load_id", "page_no", text.norm(F.col("page_text")).alias("body"), "page_conf")
-    if has_crowds(docs, crowd):
-        results = _search_with_crowds(scoped, norm_pages, len(fields))
-    else:
-        results = _search_pages(_own_pages(scoped, norm_pages), len(fields))
+    norm_pages = pages.select("load_id", "page_no", text.norm(F.col("page_text")).alias("body"))
+    paged = _search_pages(_own_pages(scoped.filter("NOT by_value"), norm_pages), len(fields))
+    found = paged.unionByName(_search_by_value(scoped.filter("by_value"), norm_pages))
+    scored = confidence_sums(scoped.select("load_id", "doc_seq", "spans"), pages)
+    conf = F.max("conf_sum") / F.nullif(F.max("conf_n"), F.lit(0))
+    results = scored.unionByName(found, allowMissingColumns=True).groupBy("load_id", "doc_seq").agg(
+        F.max("found").alias("found"), conf.alias("conf"))
     return docs.withColumn("sought", sought).join(results, ["load_id", "doc_seq"], "left").select(
         *docs.columns, F.round("conf", 3).alias("ocr_confidence"), _unverified(docs).alias("unverified_fields")
     )
