@@ -6,32 +6,18 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from packetmill import schemas
+from packetmill.operators.conformance import packet_faults
 
-MAX_DETAIL = 2000
 
-
-def apply_extractor(
-    inputs: DataFrame,
-    extract: Callable[[dict], dict | str],
-    keys: list[str] | None = None,
-    schema: T.StructType = schemas.PACKET,
-) -> DataFrame:
-    """Call ``extract`` on every row and return the keys, ``status``, ``detail`` and ``packet``.
-
-    ``extract`` gets the row as a dict and returns the packet as a dict or as JSON text. A row
-    that raises, or whose answer does not fit the schema, comes back as ``failed`` with the reason
-    and without a packet; the others are not affected. Rows stream through in Arrow batches.
-    """
-    keys = keys or ["load_id"]
-    raw_schema = T.StructType(
-        [inputs.schema[k] for k in keys]
-        + [T.StructField("_error", T.StringType()), T.StructField("_json", T.StringType())]
-    )
+def _answers(inputs: DataFrame, extract: Callable[[dict], dict | str], keys: list[str]) -> DataFrame:
+    """The keys, the answer as JSON text, and the error of each call."""
+    schema = T.StructType([
+        *[inputs.schema[k] for k in keys], T.StructField("_error", T.StringType()), T.StructField("_json", T.StringType())])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -43,18 +29,57 @@ def apply_extractor(
                     errors.append(None)
                 except Exception as e:  # noqa: BLE001 - one bad row must not end the job
                     answers.append(None)
-                    errors.append(f"{type(e).__name__}: {e}"[:MAX_DETAIL])
+                    errors.append(f"{type(e).__name__}: {e}")
             yield batch[keys].assign(_error=errors, _json=answers)
 
-    parsed_schema = T.StructType([*schemas.lenient(schema).fields, T.StructField("_corrupt_record", T.StringType())])
+    return inputs.mapInPandas(run, schema)
+
+
+def apply_extractor(inputs: DataFrame, extract: Callable[[dict], dict | str]) -> DataFrame:
+    """Call ``extract`` on every row; ``load_id, part_no, status, detail, packet`` come back.
+
+    ``extract`` gets the row as a dict and returns the packet as a dict or as JSON text. A call that
+    raises, an answer that is no packet, and a packet that breaks a declared rule make the load
+    ``failed`` with the whole reason; other loads are not affected. Rows stream through in Arrow
+    batches.
+
+    A load whose text comes in several parts (``part_no``) is one load: it fails if any part does,
+    with the reason of the first such part, and its documents are numbered through all parts in
+    ``doc_seq``. Accepted packets have the declared types and carry the load's own id.
+    """
+    parted = "part_no" in inputs.columns
+    keys = ["load_id", "part_no"] if parted else ["load_id"]
+    read_schema = T.StructType([*schemas.lenient(schemas.PACKET).fields, T.StructField("_corrupt_record", T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = inputs.mapInPandas(run, raw_schema).withColumn(
-        "_packet", F.from_json("_json", parsed_schema, options)
-    )
+    read = _answers(inputs, extract, keys).withColumn("_packet", F.from_json("_json", read_schema, options))
     misfit = F.col("_packet").isNull() | F.col("_packet._corrupt_record").isNotNull()
-    detail = F.when(F.col("_error").isNotNull(), F.col("_error")).when(misfit, F.lit("answer does not fit the schema"))
-    return (
-        parsed.withColumn("detail", detail)
-        .withColumn("status", F.when(F.col("detail").isNull(), "ok").otherwise("failed"))
-        .select(*keys, "status", "detail", F.when(F.col("detail").isNull(), F.col("_packet").dropFields("_corrupt_record")).alias("packet"))
-    )
+    fault = F.get(packet_faults(F.col("_packet")), F.lit(0))
+    judged = read.withColumn("_fault", F.when(F.col("_error").isNotNull(), F.col("_error")).when(
+        misfit, F.lit("answer does not fit the schema")).otherwise(fault))
+    part = F.col("part_no") if parted else F.lit(0)
+    judged = judged.select("load_id", part.cast("int").alias("part_no"), "_fault", "_packet").withColumn(
+        "_n", F.coalesce(F.size("_packet.documents"), F.lit(0)))
+
+    # A load has one part per thousand pages, so these windows are short.
+    whole = Window.partitionBy("load_id")
+    before = whole.orderBy("part_no").rowsBetween(Window.unboundedPreceding, -1)
+    reason = F.min(F.when(F.col("_fault").isNotNull(), F.struct("part_no", "_fault"))).over(whole)["_fault"]
+    first = F.coalesce(F.sum("_n").over(before), F.lit(0))
+    judged = judged.withColumns({"detail": reason, "_first": first})
+    packet = schemas.as_declared(F.col("_packet"), schemas.PACKET)
+    documents = F.transform(packet["documents"], lambda d, i: d.withField("doc_seq", (F.col("_first") + i + 1).cast("int")))
+    own = packet.withField("load_id", F.col("load_id")).withField("part_no", F.col("part_no")).withField("documents", documents)
+    failed = F.col("detail").isNotNull()
+    return judged.select(
+        "load_id", "part_no", F.when(failed, "failed").otherwise("ok").alias("status"), "detail",
+        F.when(~failed, own).alias("packet"))
+
+
+def load_results(results: DataFrame) -> DataFrame:
+    """``load_id, status, detail``: one row per load, whatever its number of parts."""
+    return results.groupBy("load_id").agg(F.max("status").alias("status"), F.max("detail").alias("detail"))
+
+
+def packets_of(results: DataFrame) -> DataFrame:
+    """The accepted packets as bronze records."""
+    return results.filter("status = 'ok'").select("packet.*")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # The allowed values of each enumerated field.
@@ -85,6 +87,8 @@ DOCUMENT = T.StructType(
     DOCUMENT_SCALARS.fields
     + [T.StructField(name, T.ArrayType(child)) for name, child in CHILDREN.items()]
     + [T.StructField("ocr_confidence", T.DoubleType()), T.StructField("unverified_fields", T.StringType())]
+    # The document's number in its load; without it documents count by place.
+    + [T.StructField("doc_seq", T.IntegerType())]
 )
 PACKET = T.StructType([
     T.StructField("load_id", T.StringType()),
@@ -99,11 +103,23 @@ OCR_ENTRY = T.StructType([
     T.StructField("full_text", T.StringType()),
     T.StructField("page_text", T.ArrayType(T.StringType())),
     T.StructField("page_conf", T.ArrayType(T.DoubleType())),
-    # First page of an entry that continues a large packet; absent otherwise.
-    T.StructField("first_page", T.IntegerType()),
+    # The pages' own numbers; absent where pages count by place.
+    T.StructField("page_no", T.ArrayType(T.IntegerType())),
 ])
 
 
+def as_declared(value: Column, declared: T.DataType) -> Column:
+    """Turn leniently read doubles back into the declared whole numbers; fractions become null."""
+    if isinstance(declared, T.StructType):
+        fields = [as_declared(value[f.name], f.dataType).alias(f.name) for f in declared.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    if isinstance(declared, T.ArrayType):
+        return F.transform(value, lambda x: as_declared(x, declared.elementType))
+    if isinstance(declared, T.IntegerType):
+        return F.when(value % 1 == 0, value.try_cast("int"))
+    return value
+
+
 def lenient(schema: T.DataType) -> T.DataType:
     """The same shape with whole numbers read as doubles, so that ``30.0`` is not lost."""
     if isinstance(schema, T.StructType):

@@ -2,9 +2,12 @@
 
 from pyspark.sql import functions as F
 
-from packetmill.operators import extractor, gold, manifest, summary, usage
+from packetmill import schemas
+from packetmill.operators import extractor, gold, manifest, nested, process, summary, usage
+from packetmill.operators import pages as page_ops
 from packetmill.plans.fixtures import OUTPUT_PREFIX, RAW_PREFIX, table
 from packetmill.plans.verification import _with_children
+from packetmill.sources import readers, writers
 
 
 def test_worklist_avoids_done_and_multi_and_keeps_order(spark, sf_dir):
@@ -70,20 +73,100 @@ def test_detail_line(spark):
     }
 
 
+GOOD = {"packet_summary": "s", "documents": [{"doc_type": "other", "page_range": "1", "pieces": 3.0}]}
+
+
 def test_extractor_sees_only_valid_rows_and_isolates_failures(spark):
-    rows = spark.createDataFrame([("1", True), ("2", True), ("3", False), ("4", True)], "load_id string, valid boolean")
+    rows = spark.createDataFrame([("1", True), ("2", True), ("3", False), ("4", True), ("5", True)], "load_id string, valid boolean")
 
     def extract(row):
         assert row["valid"]
         if row["load_id"] == "2":
-            raise RuntimeError("boom")
-        return '{"documents": 5}' if row["load_id"] == "4" else {"load_id": "1", "documents": [{"doc_type": "other"}]}
+            raise RuntimeError("boom " * 1000)
+        if row["load_id"] == "4":
+            return '{"documents": 5}'
+        return {} if row["load_id"] == "5" else {**GOOD, "load_id": "ZZZ"}
+
+    results = extractor.apply_extractor(rows.filter("valid"), extract)
+    got = {r.load_id: (r.status, r.detail, r.packet) for r in results.collect()}
+    assert set(got) == {"1", "2", "4", "5"}
+    assert got["1"][0] == "ok" and got["1"][2].load_id == "1" and got["1"][2].documents[0].pieces == 3
+    assert got["2"] == ("failed", "RuntimeError: " + "boom " * 1000, None)
+    assert got["4"][1] == "answer does not fit the schema" and got["5"][1] == "packet_summary: required"
+    assert results.schema["packet"].dataType.simpleString() == schemas.PACKET.simpleString()
+
+
+FAULTS = [
+    ({"documents": None}, "documents: required"), ({"packet_summary": None}, "packet_summary: required"),
+    ({"doc_type": None}, "documents[0].doc_type: required"), ({"page_range": None}, "documents[0].page_range: required"),
+    ({"doc_type": "nonsense"}, "documents[0].doc_type: enum"), ({"weight_unit": "stone"}, "documents[0].weight_unit: enum"),
+    ({"osd_code": "lost"}, "documents[0].osd_code: enum"), ({"pieces": 3.5}, "documents[0].pieces: whole number"),
+    ({"pallet_count": 3e9}, "documents[0].pallet_count: whole number"), ({"stops": [{"stop_type": "pickup"}]}, "documents[0].stops[0].sequence: required"),
+    ({"stops": [{"sequence": 1, "stop_type": "pickup"}, {"sequence": 2, "stop_type": "rest"}]}, "documents[0].stops[1].stop_type: enum"),
+    ({"stops": [{"sequence": 1, "stop_type": "pickup", "appt_type": "soon"}]}, "documents[0].stops[0].appt_type: enum"),
+    ({"accessorials": [{"amount": 5}]}, "documents[0].accessorials[0].type: required"),
+    ({"references": [{"ref_type": "po"}]}, "documents[0].references[0].value: required"),
+    ({"references": [{"ref_type": "fax", "value": "1"}]}, "documents[0].references[0].ref_type: enum"),
+    ({"doc_type": "invoice"}, None), ({"documents": []}, None), ({"stops": [{"sequence": 2.0, "stop_type": "delivery"}]}, None),
+]
+
+
+def test_every_declared_rule_fails_a_packet(spark):
+    def extract(row):
+        change = FAULTS[int(row["load_id"])][0]
+        packet = {**GOOD, "documents": [dict(GOOD["documents"][0])]}
+        target = packet if set(change) <= set(packet) else packet["documents"][0]
+        target.update(change)
+        return packet
+
+    loads = spark.createDataFrame([(str(i),) for i in range(len(FAULTS))], "load_id string")
+    got = {int(r.load_id): (r.status, r.detail) for r in extractor.apply_extractor(loads, extract).collect()}
+    assert [got[i] for i in range(len(FAULTS))] == [("failed" if f else "ok", f) for _, f in FAULTS]
+
+
+def test_a_load_of_several_parts_is_one_load(spark):
+    pages = spark.range(1, 2101).selectExpr("explode(array('1', '2', '3')) load_id", "cast(id AS int) page_no", "'t' page_text", "0.5D page_conf")
 
-    got = {r.load_id: (r.status, r.detail, r.packet) for r in extractor.apply_extractor(rows.filter("valid"), extract).collect()}
-    assert set(got) == {"1", "2", "4"}
-    assert got["1"][0] == "ok" and got["1"][2].documents[0].doc_type == "other"
-    assert got["2"] == ("failed", "RuntimeError: boom", None)
-    assert got["4"][0] == "failed" and got["4"][2] is None
+    def extract(row):
+        numbers = [line.split()[2] for line in row["marked_text"].splitlines() if line.startswith("--- PAGE")]
+        if row["load_id"] == "2" and row["part_no"] == 1:
+            raise ValueError("middle part")
+        return {"packet_summary": "s", "documents": [{"doc_type": "other", "page_range": n} for n in numbers if int(n) % 700 == 0]}
+
+    results = extractor.apply_extractor(page_ops.marked_text(pages), extract)
+    assert sorted(map(tuple, extractor.load_results(results).collect())) == [("1", "ok", None), ("2", "failed", "ValueError: middle part"), ("3", "ok", None)]
+    docs = nested.attach_parent(extractor.packets_of(results)).select("load_id", "doc_seq", "doc.page_range").collect()
+    assert sorted(map(tuple, docs)) == [(x, i + 1, str(700 * (i + 1))) for x in "13" for i in range(3)]
+
+
+def test_a_run_of_faulty_loads(spark, tmp_path):
+    """Cells that cannot be counted and a second run: neither ends the job nor adds anything."""
+    files = manifest.scan_manifest(spark.createDataFrame(
+        [("p/1/a.pdf", 9, True, False, 1), ("p/2/a.pdf", 0, True, False, 1), ("p/3/a.pdf", 9, True, True, 1), ("p/4/a.pdf", 9, True, False, 1),
+         ("p/5/a.pdf", 9, True, False, 1), ("p/5/b.pdf", 9, True, False, 1), ("p/6/a.pdf", 9, True, False, 1)],
+        "path string, length long, openable boolean, needs_pass boolean, page_count int"), "p/")
+    pages = spark.createDataFrame([("1", 1, "LN-100 one", 0.5), ("1", 3, "two", 0.9), ("6", 1, "from the service", 0.1)],
+                                  "load_id string, page_no int, page_text string, page_conf double")
+    cache = spark.createDataFrame([("6", 1, "ln 600 from the cache", 0.8)], pages.schema)
+
+    def extract(row):
+        page_range = "1-9999999999,1-99999999999999999999999999999999999999999" if row["load_id"] == "1" else "1"
+        return {"packet_summary": "s", "documents": [{"doc_type": "other", "page_range": page_range, "load_number": f"LN{row['load_id']}00"},
+                                                    {"doc_type": "invoice", "page_range": "3", "load_number": "LN100"}]}
+
+    done = spark.createDataFrame([], "load_id string")
+    run = process.process(files, pages, cache, done, extract, str(tmp_path / "a"))
+    assert sorted(map(tuple, run.results.collect())) == [
+        ("1", "ok", None), ("2", "invalid", "empty file (0 bytes)"), ("3", "invalid", "password-protected PDF"), ("4", "failed", "no page text"), ("6", "ok", None)]
+    docs = nested.flatten_documents(run.bronze).orderBy("load_id", "doc_seq").collect()
+    assert [(r.load_id, r.source_pdf, r.ocr_confidence, r.unverified_fields) for r in docs] == [
+        ("1", "p/1/a.pdf", 0.7, ""), ("1", "p/1/a.pdf", 0.9, "load_number"), ("6", "p/6/a.pdf", 0.8, ""), ("6", "p/6/a.pdf", 0.8, "load_number")]
+    assert sorted(r.load_id for r in run.new_pages.collect()) == ["1", "1"]
+    assert summary.packet_mix(nested.flatten_documents(run.bronze)).count() == 2
+    writers.write_packets(run.bronze, str(tmp_path / "b"), "v1")
+    stored = readers.read_packets(spark, str(tmp_path / "b" / "extract_version=v1"))
+    again = process.process(files, pages, cache, readers.done_loads(stored), extract, str(tmp_path / "c"))
+    assert again.bronze.count() == 0 and sorted(r.load_id for r in again.quarantine.collect()) == ["2", "3", "4"]
 
 
 def test_gold_tables_cover_silver(spark, sf_dir):
@@ -114,6 +197,26 @@ def test_rate_rules_on_the_worked_examples(spark):
     assert gold.with_breakdown_conflict(gold.with_rate_clean(docs), None).filter("rate_breakdown_conflict").count() == 1
 
 
+def test_copies_of_one_bill_count_once(spark):
+    docs = spark.createDataFrame([
+        ("1", 1, "bill_of_lading", "B1", False, 10), ("1", 2, "bill_of_lading", "B1", True, 9), ("1", 3, "bill_of_lading", None, None, 4),
+        ("1", 4, "bill_of_lading", None, None, 5), ("2", 1, "rate_confirmation", "B1", None, 7), ("3", 1, "other", None, None, 1)],
+        "load_id string, doc_seq int, doc_type string, bol_number string, is_signed_delivery_copy boolean, pieces int")
+    docs = docs.selectExpr("*", "'N' packet_load_number", "12.5D rate_total", "'2024-01-02' delivery_date")
+    got = {r.load_id: (r.n_rc, r.n_bol, r.n_pod, r.bol_pieces, r.rate_cents) for r in gold.load_overview(docs).collect()}
+    assert got == {"1": (0, 4, 1, 18, None), "2": (1, 0, 0, None, 1250)}
+
+
+def test_loads_without_calls_and_results_without_status(spark):
+    docs = spark.createDataFrame([("1", 1, "other", "1", False, 0.5, "", 0, 0)],
+        "load_id string, doc_seq int, doc_type string, page_range string, is_signed_delivery_copy boolean, ocr_confidence double, "
+        "unverified_fields string, n_stops long, n_accessorials long")
+    calls = spark.createDataFrame([], "load_id string, pages int, out_tokens long, think_tokens long, ocr_cached boolean")
+    assert [r.detail for r in summary.packet_detail(docs, calls).collect()] == ["other:1p | ocr0.50 | out0 | think0"]
+    row = usage.run_status(spark.createDataFrame([("ok",), ("invalid",), (None,), ("odd",)], "status string"), F.lit(4), 60.0).first()
+    assert (row.ok, row.invalid, row.failed, row.done) == (1, 1, 2, 4)
+
+
 def test_children_are_counted_per_document(spark, sf_dir):
     rows = _with_children(spark, sf_dir)
     docs = rows.select("load_id", "doc_seq")
