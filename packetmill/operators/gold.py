@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packetmill import schemas
+from packetmill.functions import parsing
 from packetmill.operators.conformance import is_date
 from packetmill.operators.joins import join_summary
 from packetmill.operators.verify import REVIEW_CONFIDENCE
@@ -37,7 +38,7 @@ def cents(amount: Column) -> Column:
 
 
 def doc_type_of(raw: Column) -> Column:
-    name = F.regexp_replace(F.lower(F.trim(raw)), "[^a-z0-9]+", "_")
+    name = F.regexp_replace(F.regexp_replace(F.lower(raw), "[^a-z0-9]+", "_"), "^_|_$", "")
     chosen = F.when(name.isin(schemas.DOC_TYPES), name)
     for title, kind in TYPE_SYNONYMS.items():
         chosen = chosen.when(name == title, kind)
@@ -206,10 +207,24 @@ def bol_copies(docs: DataFrame) -> DataFrame:
     ).drop("best_seq")
 
 
+def with_parsed_fields(docs: DataFrame) -> DataFrame:
+    """Fill what the printed text still tells: pallets from the commodity, class, length and
+    temperature from the verbatim equipment text. A value that is given stays."""
+    raw, commodity = _column(docs, "equipment_type_raw"), _column(docs, "commodity")
+    parsed = {
+        "pallet_count": (parsing.parse_pallet_text(commodity), "int"),
+        "equipment_class": (parsing.equipment_class(raw), "string"),
+        "equipment_length_ft": (parsing.equipment_length_ft(raw), "int"),
+        "temperature_setpoint_f": (parsing.temperature_setpoint_f(raw), "double"),
+        "temperature_mode": (parsing.temperature_mode(raw), "string"),
+    }
+    return docs.withColumns({c: F.coalesce(_column(docs, c, kind), value) for c, (value, kind) in parsed.items()})
+
+
 def documents_classified(docs: DataFrame, accessorials: DataFrame | None = None,
                          threshold: float = REVIEW_CONFIDENCE) -> DataFrame:
     """Every document with its type, carrier key, checks, flags and the load's number."""
-    typed = with_classification(docs)
+    typed = with_parsed_fields(with_classification(docs))
     numbered = join_summary(
         typed, load_reference(typed).select("load_id", "packet_load_number", "n_load_numbers"), ["load_id"]
     )
@@ -278,24 +293,29 @@ def pod_coverage(docs: DataFrame) -> DataFrame:
     )
 
 
-def load_overview(rcs: DataFrame, bols: DataFrame, pods: DataFrame) -> DataFrame:
-    """One row per load over the three tables, each brought to one row per load first."""
-    rc = rcs.groupBy("load_id").agg(
-        F.count("*").alias("n_rc"), F.max(cents(F.col("rate_total"))).alias("rate_cents"),
-        F.max("packet_load_number").alias("rc_packet_load_number"),
-    )
-    bol = bols.groupBy("load_id").agg(
-        F.count("*").alias("n_bol"), F.sum("pieces").cast("bigint").alias("bol_pieces"),
-        F.max("packet_load_number").alias("bol_packet_load_number"),
-    )
-    pod = pods.groupBy("load_id").agg(
-        F.count("*").alias("n_pod"), F.max("delivery_date").alias("last_delivery_date"),
-        F.max("packet_load_number").alias("pod_packet_load_number"),
+def load_overview(classified: DataFrame) -> DataFrame:
+    """One row per load over its rate confirmations, bills of lading and proofs of delivery.
+
+    Copies of one bill count once for the pieces: those of the signed, then earliest, copy; a bill
+    without a number is a bill of its own. One grouping by bill and one by load, no join.
+    """
+    rc, bol, pod = (F.col("doc_type") == t for t in ("rate_confirmation", "bill_of_lading", "proof_of_delivery"))
+    number = _column(classified, "bol_number")
+    one = F.concat_ws(":", number, F.when(number.isNull(), F.col("doc_seq").cast("string")))
+    signed = F.coalesce(F.col("is_signed_delivery_copy"), F.lit(False))
+    delivered = F.coalesce(_column(classified, "delivery_signed_date"), F.col("delivery_date"))
+    # Documents that are no bill fall into one group per load.
+    bills = classified.groupBy("load_id", F.when(bol, F.concat(number.isNull().cast("string"), one)).alias("bill")).agg(
+        F.count_if(rc).alias("n_rc"), F.count_if(bol).alias("n_bol"), F.count_if(is_pod()).alias("n_pod"),
+        F.max(F.when(rc, cents(F.col("rate_total")))).alias("rate_cents"),
+        F.max(F.when(bol, F.struct(signed.alias("signed"), (-F.col("doc_seq")).alias("k"), F.col("pieces"))))["pieces"].alias("pieces"),
+        F.max(F.when(is_pod(), delivered)).alias("last_delivery_date"),
+        F.max(F.when(rc | bol | is_pod(), F.col("packet_load_number"))).alias("packet_load_number"),
     )
-    joined = rc.join(bol, "load_id", "full").join(pod, "load_id", "full")
-    return joined.select(
-        "load_id",
-        F.coalesce("rc_packet_load_number", "bol_packet_load_number", "pod_packet_load_number").alias("packet_load_number"),
-        *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ["n_rc", "n_bol", "n_pod"]],
-        "rate_cents", "bol_pieces", "last_delivery_date",
+    loads = bills.groupBy("load_id").agg(
+        F.max("packet_load_number").alias("packet_load_number"),
+        *[F.sum(c).cast("bigint").alias(c) for c in ["n_rc", "n_bol", "n_pod"]],
+        F.max("rate_cents").alias("rate_cents"), F.sum("pieces").cast("bigint").alias("bol_pieces"),
+        F.max("last_delivery_date").alias("last_delivery_date"),
     )
+    return loads.filter(F.col("n_rc") + F.col("n_bol") + F.col("n_pod") > 0)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packetmill import schemas
-from packetmill.functions.page_ranges import page_spans, span_pages
+from packetmill.functions.page_ranges import named_pages
 
 
 def with_child_counts(docs: DataFrame, stops: DataFrame, accessorials: DataFrame) -> DataFrame:
@@ -30,9 +30,11 @@ def _is_pod() -> Column:
 
 
 def _per_type(docs: DataFrame, *more: Column) -> DataFrame:
+    pages = named_pages(F.col("page_range"))
     return docs.groupBy("load_id", "doc_type").agg(
         F.count("*").alias("n_docs"),
-        F.sum(span_pages(page_spans(F.col("page_range")))).alias("n_pages"),
+        # A sum that cannot be counted is null, and shown so; it must not end the job.
+        F.when(F.count_if(pages.isNull()) == 0, F.try_sum(pages)).alias("n_pages"),
         F.bool_or(_is_pod()).alias("pod"),
         *more,
     )
@@ -41,7 +43,8 @@ def _per_type(docs: DataFrame, *more: Column) -> DataFrame:
 def _mix() -> Column:
     """``type[ xN]:Pp`` by pages, most first, then type, with POD at the end when there is one."""
     copies = F.when(F.col("n_docs") > 1, F.concat(F.lit(" x"), F.col("n_docs").cast("string"))).otherwise(F.lit(""))
-    entry = F.concat("doc_type", copies, F.lit(":"), F.col("n_pages").cast("string"), F.lit("p"))
+    shown = F.coalesce(F.col("n_pages").cast("string"), F.lit("?"))
+    entry = F.concat("doc_type", copies, F.lit(":"), shown, F.lit("p"))
     ordered = F.array_sort(F.collect_list(F.struct((-F.col("n_pages")).alias("k"), F.col("doc_type"), entry.alias("entry"))))
     return F.concat_ws(
         " ", F.transform(ordered, lambda e: e["entry"]), F.when(F.bool_or("pod"), F.lit("POD"))
@@ -127,4 +130,6 @@ def packet_detail(docs: DataFrame, calls: DataFrame) -> DataFrame:
         "load_id", "pages", *[F.coalesce(c, F.lit(0)).alias(c) for c in ["out_tokens", "think_tokens"]],
         F.coalesce("ocr_cached", F.lit(False)).alias("ocr_cached"),
     )
-    return per_load.join(figures, "load_id").select("load_id", line.alias("detail"))
+    # A load without a call row keeps its line, with no tokens.
+    joined = per_load.join(figures, "load_id", "left").na.fill(0, ["out_tokens", "think_tokens"])
+    return joined.select("load_id", line.alias("detail"))

@@ -102,7 +102,7 @@ def run_status(results: DataFrame, total: Column, elapsed_seconds: float) -> Dat
     """Progress of a run: counts by outcome, percent, packets per minute, seconds to go."""
     counts = results.agg(
         F.count_if(F.col("status") == "ok").alias("ok"),
-        F.count_if(~F.col("status").isin("ok", "invalid")).alias("failed"),
+        F.count_if(F.coalesce(~F.col("status").isin("ok", "invalid"), F.lit(True))).alias("failed"),
         F.count_if(F.col("status") == "invalid").alias("invalid"),
     )
     done = F.col("ok") + F.col("failed") + F.col("invalid")

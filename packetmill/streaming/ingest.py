@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+
+# Folders by the hash of the load id in the table of first-seen loads.
+PARTS = 64
 
 
 def ingest_incremental(source: DataFrame, dst: str, checkpoint: str) -> None:
@@ -24,30 +26,41 @@ def ingest_incremental(source: DataFrame, dst: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def _stored(spark: SparkSession, dst: str, before: int) -> DataFrame | None:
-    """Ids written by earlier batches."""
-    try:
-        rows = spark.read.option("basePath", dst).parquet(f"{dst}/batch=*")
-    except AnalysisException:
+def _has_batches(spark: SparkSession, dst: str) -> bool:
+    """Whether the table's folder holds any batch; a folder that cannot be listed is an error."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{dst}/batch=*")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return found is not None and len(found) > 0
+
+
+def _stored(spark: SparkSession, dst: str, before: int, parts: list[int]) -> DataFrame | None:
+    """Ids written by earlier batches in the given parts of the table."""
+    if not _has_batches(spark, dst):
         return None
-    return rows.filter(F.col("batch") < before).select("load_id")
+    rows = spark.read.option("basePath", dst).parquet(f"{dst}/batch=*")
+    return rows.filter((F.col("batch") < before) & F.col("part").isin(parts)).select("load_id")
 
 
 def ingest_first_seen(source: DataFrame, dst: str, checkpoint: str, order: str = "path") -> None:
     """One row per load across all batches, the first by ``order`` within the batch that brings it.
 
     The table itself is the memory: a batch drops loads that earlier batches stored, so no state
-    grows in the executors. Each batch owns a folder that a retry replaces, which makes a repeated
-    batch harmless.
+    grows in the executors. Ids lie in PARTS folders by their hash, and a batch reads only the
+    folders that its own ids fall into. Each batch owns a folder that a retry replaces, which makes
+    a repeated batch harmless.
     """
     columns = [c for c in source.columns if c not in ("load_id", order)]
+    part = F.pmod(F.xxhash64("load_id"), F.lit(PARTS)).cast("int")
 
     def store(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         first = batch.groupBy("load_id").agg(F.min(F.struct(order, *columns)).alias("r")).select("load_id", "r.*")
-        stored = _stored(spark, dst, batch_id)
+        first = first.withColumn("part", part)
+        parts = [r["part"] for r in batch.select(part.alias("part")).distinct().collect()]  # PARTS at most
+        stored = _stored(spark, dst, batch_id, parts)
         fresh = first if stored is None else first.join(stored, "load_id", "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{dst}/batch={batch_id}")
+        fresh.write.mode("overwrite").partitionBy("part").parquet(f"{dst}/batch={batch_id}")
 
     query = (
         source.writeStream.foreachBatch(store)
@@ -59,4 +72,4 @@ def ingest_first_seen(source: DataFrame, dst: str, checkpoint: str, order: str =
 
 
 def first_seen(spark: SparkSession, dst: str) -> DataFrame:
-    return spark.read.option("basePath", dst).parquet(f"{dst}/batch=*").drop("batch")
+    return spark.read.option("basePath", dst).parquet(f"{dst}/batch=*").drop("batch", "part")

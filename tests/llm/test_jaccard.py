@@ -141,8 +141,10 @@ def test_components(spark):
     rng = random.Random(5)
     edges = [(f"{a:04}", f"{a + 1:04}") for a in range(300) if a % 50 < 47] + [("0400", f"{i:04}") for i in range(401, 600)]
     rng.shuffle(edges)
-    got = {r["node"]: r["root"] for r in connected(spark.createDataFrame(edges + edges[:9], "a string, b string")).collect()}
     root = {}
     for a, b in sorted(edges):
         root[b] = root.setdefault(a, a)
-    assert got == root
+    df = spark.createDataFrame(edges + edges[:9], "a string, b string").repartition(9)
+    for chunk in (10**6, 40):  # in one task, and in several with star rounds between
+        rows = connected(df, chunk).collect()
+        assert {r["node"]: r["root"] for r in rows} == root and len(rows) == len(root)

@@ -26,11 +26,20 @@ def test_page_ranges(spark):
 def test_huge_ranges_are_counted_and_clipped_without_listing(spark):
     df = spark.createDataFrame([("1-999999999999", 3), ("2-99999999999999999999", 3), ("99999999999999999999", 3)], "r string, n int")
     spans = page_ranges.page_spans(F.col("r"))
-    rows = df.select(page_ranges.span_pages(spans), page_ranges.clip_spans(spans, F.col("n"))).collect()
-    assert rows[0][0] == 999999999999
+    rows = df.select(page_ranges.named_pages(F.col("r")), page_ranges.clip_spans(spans, F.col("n"))).collect()
+    assert [int(r[0]) for r in rows] == [999999999999, 99999999999999999998, 1]
     assert [[tuple(s) for s in r[1]] for r in rows] == [[(1, 3)], [(2, 3)], []]
 
 
+def test_no_cell_ends_the_job(spark):
+    nines = "9" * 36
+    cells = [",".join([f"0-{nines}"] * 12), ",".join([f"0-{nines}"] * 300), "1-9999999999", "1-" + "9" * 40, "1-2," * 2000 + "3", "9" * 500]
+    assert [None if x is None else int(x) for x in evaluate(spark, cells, "string", page_ranges.named_pages)] == [
+        12 * 10**36, None, 9999999999, None, 4001, None]
+    listed = evaluate(spark, cells, "string", page_ranges.parse_page_range)
+    assert [x is None for x in listed] == [True, True, True, True, False, True] and len(listed[4]) == 4001
+
+
 def test_list_pages_in_runs(spark, monkeypatch):
     monkeypatch.setattr(page_ranges, "RUN", 3)
     df = spark.createDataFrame([(1, "1-8,2"), (2, "5")], "id int, r string").withColumn("spans", page_ranges.page_spans(F.col("r")))
@@ -82,45 +91,74 @@ def test_transient(spark):
     assert df.filter(triage.is_transient(F.col("c"), F.col("code")) != F.col("want")).count() == 0
 
 
-def test_page_zoom(spark):
-    def brute(w, h):
-        zoom = min(1536 / (max(w, h) or 1), 4.0)
-        return max(zoom, 1.0 / max(min(w, h), 0.01)) if min(w, h) * zoom < 1 else zoom
+ZOOMS = {  # width and height -> zoom: the long edge becomes 1536, at most four times its size, and no edge less than one
+    (612.0, 792.0): 1536 / 792, (100.0, 90.0): 4.0, (9000.0, 2.0): 0.5, (0.0, 0.0): 100.0, (20000.0, 0.001): 100.0, (1536.0, 1.0): 1.0,
+}
 
-    sizes = [(612.0, 792.0), (100.0, 90.0), (9000.0, 2.0), (0.0, 0.0), (20000.0, 0.001), (1536.0, 1.0)]
-    df = spark.createDataFrame(sizes, "w double, h double")
-    assert [r[0] for r in df.select(imaging.page_zoom(F.col("w"), F.col("h"))).collect()] == [brute(*s) for s in sizes]
 
+def test_page_zoom(spark):
+    df = spark.createDataFrame(list(ZOOMS), "w double, h double")
+    got = [r[0] for r in df.select(imaging.page_zoom(F.col("w"), F.col("h"))).collect()]
+    assert got == pytest.approx(list(ZOOMS.values()))
 
-def test_money_and_weight(spark):
-    assert evaluate(spark, ["$1,600.00", "1600", "-5.5", "about 3", "", None], "string", parsing.parse_money) == [
-        1600.0, 1600.0, -5.5, None, None, None]
-    assert evaluate(spark, ["32,268 LBS", "32,955", "none"], "string", parsing.parse_weight) == [32268.0, 32955.0, None]
-    assert evaluate(spark, ["32,268 LBS", "900kg", "12 Kilograms", "40 #", "bulbs", "7 pounds"], "string", parsing.parse_weight_unit) == [
-        "lb", "kg", "kg", "lb", None, "lb"]
 
+MONEY = {"$2,045.50": 2045.5, "975": 975.0, "-12.25": -12.25, " $ 80 ": 80.0, "1 200.00": 1200.0, "USD 5": None, "5 to 6": None, "": None, None: None, "$": None}
 
-def test_pallet_text(spark):
-    given = {"30 PALLETS DRY PRODUCT": 30, "15 PALLETS OF CABINET PARTS": 15, "20plts": 20, "4 Skid": 4, "30 CTNS": None, None: None}
-    assert evaluate(spark, list(given), "string", parsing.parse_pallet_text) == list(given.values())
+WEIGHTS = {
+    "18,204 LBS": (18204.0, "lb"), "18204": (18204.0, None), "1,204.5 kg": (1204.5, "kg"), "44,000 LBS (19,958 KG)": (44000.0, "lb"),
+    "19,958 KG / 44,000 LB": (44000.0, "lb"), "QTY 12 / 18,204 LBS": (18204.0, "lb"), "12 CTN 900 KGS": (900.0, "kg"), "650#": (650.0, "lb"),
+    "40 #": (40.0, "lb"), "7 pounds": (7.0, "lb"), "bulbs": (None, None), "12 Kilograms": (12.0, "kg"), "3 kilos": (3.0, "kg"), "GW: 1204KGS": (1204.0, "kg"),
+    "2 skids, 900kg net": (900.0, "kg"), "1.5lb": (1.5, "lb"), "": (None, None), None: (None, None), "lbs": (None, None), "12,34 lbs": (12.0, None),
+    "PO 4411 weight 8,000 pounds": (8000.0, "lb"), "1,000,000 lb": (1000000.0, "lb"), "5 kgf": (5.0, None), "9 lbm": (9.0, None),
+    "TARE 15,000 GROSS 48,000": (15000.0, None), "0 LBS": (0.0, "lb"), "weight tbd": (None, None), "36000LB": (36000.0, "lb"),
+    "kg 500": (500.0, None), "20 ft / 21,000 Lbs.": (21000.0, "lb"),
+}
 
+PALLETS = {
+    "PAPER ROLLS, 7 PLTS": 7, "22 PALLETS": 22, "pallets: 12": 12, "4 Skid": 4, "20plts": 20, "30 CTNS": None, None: None, "": None, "Skids = 6": 6,
+    "18 x pallets": 18, "PALLET COUNT 9": 9, "plt# 3": 3, "1,200 PALLETS": None, "26 pallet spaces": 26, "PALLETS": None, "12 CTNS ON 2 PALLETS": 2,
+    "2 pallets 5 skids": 2, "0 skids": 0, "pallets 12": None, "palletized 5": None, "5 palletized": None, "3.5 pallets": None, "SKIDS: 14 / 2 PLT": 2,
+    "24 PLT STC 480 CASES": 24, "PLTS qty 8": 8, "99999999999 pallets": None, "7\nPALLETS": 7, "08 PLTS": 8, "x16 plts": 16, "(16 plts)": 16,
+}
 
 EQUIPMENT = {
-    "53' Dry Van": ("dry_van", 53, None, None), "V": ("dry_van", None, None, None), "Van": ("dry_van", None, None, None),
-    "Reefer -10F continuous": ("reefer", None, -10.0, "continuous"), "48 FT FLATBED": ("flatbed", 48, None, None),
-    "53 ft reefer set at -5 C cycle": ("reefer", 53, 23.0, "cycle"), "reefer 34 degrees": ("reefer", None, 34.0, None),
-    "Step Deck": ("step_deck", None, None, None), "RGN": ("other", None, None, None), None: (None, None, None, None),
+    "28' Pup Van": ("dry_van", 28, None, None), "V": ("dry_van", None, None, None), "vans": ("dry_van", None, None, None),
+    "REEFER 28F continuous": ("reefer", None, 28.0, "continuous"), "53 feet flat bed": ("flatbed", 53, None, None),
+    "45 ft reefer set at -10 C cycle": ("reefer", 45, 14.0, "cycle"), "refrigerated 36 degrees": ("reefer", None, 36.0, None),
+    "StepDeck": ("step_deck", None, None, None), "RGN": ("other", None, None, None), None: (None, None, None, None),
+    "48' Flatbed w/ tarp temp N/A": ("flatbed", 48, None, None), "53-ft Van": ("dry_van", 53, None, None), "40-foot container": ("container", 40, None, None),
+    "temp controlled van": ("reefer", None, None, None), "Van, temporary plates": ("dry_van", None, None, None), "Tanker 6000 gal": ("tanker", None, None, None),
+    "thank you": ("other", None, None, None), "power only": ("power_only", None, None, None), "POWER-ONLY": ("power_only", None, None, None),
+    "Van or Reefer": ("reefer", None, None, None), "53' VAN 0 deg F": ("dry_van", 53, 0.0, None), "reefer 2.5C": ("reefer", None, 36.5, None),
+    "Flat-bed 48ft": ("flatbed", 48, None, None), "step - deck 53’": ("step_deck", 53, None, None), "": ("other", None, None, None),
+    "100' crane": ("other", None, None, None), "caravan": ("other", None, None, None), "temp set -5F": ("reefer", None, -5.0, None),
+    "Reefer +34F": ("reefer", None, 34.0, None), "container 20 ft": ("container", 20, None, None), "53' DV Cycle-Sentry": ("other", 53, None, "cycle"),
 }
 
 
+def test_money(spark):
+    assert dict(zip(MONEY, evaluate(spark, list(MONEY), "string", parsing.parse_money))) == MONEY
+
+
+def test_weight(spark):
+    amounts, units = (evaluate(spark, list(WEIGHTS), "string", f) for f in (parsing.parse_weight, parsing.parse_weight_unit))
+    assert dict(zip(WEIGHTS, zip(amounts, units))) == WEIGHTS
+
+
+def test_pallet_text(spark):
+    assert dict(zip(PALLETS, evaluate(spark, list(PALLETS), "string", parsing.parse_pallet_text))) == PALLETS
+
+
 def test_equipment(spark):
-    for i, function in enumerate([parsing.equipment_class, parsing.equipment_length_ft, parsing.temperature_setpoint_f, parsing.temperature_mode]):
-        assert evaluate(spark, list(EQUIPMENT), "string", function) == [v[i] for v in EQUIPMENT.values()]
+    functions = [parsing.equipment_class, parsing.equipment_length_ft, parsing.temperature_setpoint_f, parsing.temperature_mode]
+    got = zip(*[evaluate(spark, list(EQUIPMENT), "string", f) for f in functions])
+    assert dict(zip(EQUIPMENT, got)) == EQUIPMENT
 
 
 def test_doc_type(spark):
     given = {"Rate Confirmation": "rate_confirmation", "LOAD SHEET": "rate_confirmation", "Carrier-Confirmation": "rate_confirmation",
-             "packing slip": "packing_list", "invoice": "invoice", "weird": "other", None: "other"}
+             "packing slip": "packing_list", "Rate Confirmation:": "rate_confirmation", "(Load Sheet)": "rate_confirmation", " - INVOICE - ": "invoice",
+             "Bill of Lading #": "bill_of_lading", "Proof-of-Delivery.": "proof_of_delivery", "*": "other", "": "other", "Packing List (2)": "other", "invoice": "invoice", "weird": "other", None: "other"}
     assert evaluate(spark, list(given), "string", gold.doc_type_of) == list(given.values())
 
 
