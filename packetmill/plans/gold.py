@@ -12,7 +12,8 @@ from packetmill.session import scratch_dir
 from packetmill.sources import writers
 
 _TYPED = r"""typed AS (
-  SELECT *, CASE doc_type_raw WHEN 'Rate Confirmation' THEN 'rate_confirmation' WHEN 'Load Sheet' THEN 'rate_confirmation'
+  SELECT * REPLACE (coalesce(pallet_count, try_cast(regexp_extract(commodity, '^([0-9]+) PLTS ', 1) AS INTEGER)) AS pallet_count),
+    CASE doc_type_raw WHEN 'Rate Confirmation' THEN 'rate_confirmation' WHEN 'Load Sheet' THEN 'rate_confirmation'
       WHEN 'weird' THEN 'other' ELSE doc_type_raw END AS doc_type,
     coalesce('DOT:' || nullif(array_to_string(regexp_extract_all(carrier_dot, '[0-9]'), ''), ''),
              'MC:' || nullif(array_to_string(regexp_extract_all(carrier_mc, '[0-9]'), ''), ''),
@@ -21,7 +22,7 @@ _TYPED = r"""typed AS (
   FROM silver_documents
 )"""
 _CHECKS = """checks AS (
-  SELECT *, list_min([list_max([pallet_count, 1]), 60]) AS pallet_count_clamped, pallet_count < 1 OR pallet_count > 60 AS pallet_count_impossible,
+  SELECT *, CASE WHEN pallet_count IS NOT NULL THEN list_min([list_max([pallet_count, 1]), 60]) END AS pallet_count_clamped, coalesce(pallet_count < 1 OR pallet_count > 60, false) AS pallet_count_impossible,
     try_strptime(pickup_date, '%Y-%m-%d') IS NULL AS pickup_date_bad, try_strptime(delivery_date, '%Y-%m-%d') IS NULL AS delivery_date_bad,
     coalesce(try_strptime(delivery_date, '%Y-%m-%d') < try_strptime(pickup_date, '%Y-%m-%d'), true) AS date_impossible,
     CASE WHEN round(line_haul * 100) <> round(rate_total * 100) THEN line_haul END AS line_haul_clean
@@ -94,7 +95,7 @@ def i2_carrier_key(spark, sf_dir):
 
 @query(_oracle("SELECT load_id, doc_seq, pallet_count, pallet_count_clamped, pallet_count_impossible FROM checks"))
 def i3_pallet_check(spark, sf_dir):
-    rows = gold.with_pallet_check(_silver(spark, sf_dir))
+    rows = gold.with_pallet_check(gold.with_parsed_fields(_silver(spark, sf_dir)))
     return rows.select("load_id", "doc_seq", "pallet_count", "pallet_count_clamped", "pallet_count_impossible")
 
 
@@ -133,7 +134,7 @@ def i9_osd_gap(spark, sf_dir):
 
 @query(_oracle("SELECT load_id, doc_seq, review_reasons, needs_review FROM classified"))
 def i10_needs_review(spark, sf_dir):
-    checked = gold.with_rate_clean(gold.with_date_check(gold.with_pallet_check(_silver(spark, sf_dir))))
+    checked = gold.with_rate_clean(gold.with_date_check(gold.with_pallet_check(gold.with_parsed_fields(_silver(spark, sf_dir)))))
     rows = gold.with_review(gold.with_breakdown_conflict(checked, table(spark, sf_dir, "accessorials")))
     return rows.select("load_id", "doc_seq", "review_reasons", "needs_review")
 
@@ -204,12 +205,13 @@ def i17_pod_coverage(spark, sf_dir):
   count(*) FILTER (WHERE k = 3) AS n_pod, max(cents) AS rate_cents, cast(sum(pieces) AS BIGINT) AS bol_pieces, max(day) AS last_delivery_date
 FROM (
   SELECT load_id, packet_load_number, 1 AS k, cast(round(rate_total * 100) AS BIGINT) AS cents, NULL AS pieces, NULL AS day FROM classified WHERE doc_type = 'rate_confirmation'
-  UNION ALL SELECT load_id, packet_load_number, 2, NULL, pieces, NULL FROM classified WHERE doc_type = 'bill_of_lading'
+  UNION ALL SELECT load_id, packet_load_number, 2, NULL, CASE WHEN bol_number IS NULL OR row_number() OVER (
+      PARTITION BY load_id, bol_number ORDER BY is_signed_delivery_copy DESC, doc_seq) = 1 THEN pieces END, NULL
+    FROM classified WHERE doc_type = 'bill_of_lading'
   UNION ALL SELECT load_id, packet_load_number, 3, NULL, NULL, delivery_date FROM pods
 ) GROUP BY load_id"""))
 def d5_load_overview(spark, sf_dir):
-    rows = _classified(spark, sf_dir)
-    return gold.load_overview(gold.rate_confirmations(rows), gold.bills_of_lading(rows), gold.proofs_of_delivery(rows))
+    return gold.load_overview(_classified(spark, sf_dir))
 
 
 @query(_oracle(f"SELECT {_LEAD}, {', '.join(gold.RATE_CONFIRMATION)} FROM classified WHERE doc_type = 'rate_confirmation'"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetmill.functions import page_ranges, text
@@ -17,20 +17,20 @@ _A = f"try_cast(regexp_extract({_TOKEN}, '^([0-9]+)\\s*-\\s*([0-9]+)$', 1) AS BI
 _B = f"try_cast(regexp_extract({_TOKEN}, '^([0-9]+)\\s*-\\s*([0-9]+)$', 2) AS BIGINT)"
 # Pages a range names, as a DuckDB list.
 RANGE_LIST = f"""flatten(list_transform(string_split(coalesce(page_range, ''), ','), lambda t:
-    CASE WHEN {_B} IS NOT NULL THEN range({_A}, {_B} + 1)
+    CASE WHEN {_TOKEN} LIKE '9000000000-%' THEN cast([] AS BIGINT[]) WHEN {_B} IS NOT NULL THEN range({_A}, {_B} + 1)
          WHEN regexp_full_match({_TOKEN}, '[0-9]+') THEN [cast({_TOKEN} AS BIGINT)] ELSE cast([] AS BIGINT[]) END))"""
 
 # Documents with the list of their existing pages and the packet's pages as lists.
 SCOPED = f"""packet AS (
-  SELECT load_id, list(page_text ORDER BY page_no) AS texts, list(page_conf ORDER BY page_no) AS confs
+  SELECT load_id, list(page_text ORDER BY page_no) AS texts, list(page_conf ORDER BY page_no) AS confs, list(page_no ORDER BY page_no) AS nos
   FROM ocr_pages GROUP BY load_id
 ), scoped AS (
-  SELECT d.*, texts, confs, list_filter({RANGE_LIST}, lambda p: p BETWEEN 1 AND len(texts)) AS own
+  SELECT d.*, texts, confs, nos, list_filter({RANGE_LIST}, lambda p: list_contains(nos, p)) AS own
   FROM packet_documents d LEFT JOIN packet USING (load_id)
 ), joined AS (
-  SELECT *, CASE WHEN texts IS NULL THEN '' WHEN len(own) > 0 THEN array_to_string(list_transform(own, lambda p: texts[p]), ' ')
+  SELECT *, CASE WHEN texts IS NULL THEN '' WHEN len(own) > 0 THEN array_to_string(list_transform(own, lambda p: texts[list_position(nos, p)]), ' ')
                  ELSE array_to_string(texts, ' ') END AS scoped_text,
-         round(CASE WHEN len(own) > 0 THEN list_avg(list_transform(own, lambda p: confs[p])) ELSE list_avg(confs) END, 3) AS ocr_confidence
+         round(CASE WHEN len(own) > 0 THEN list_avg(list_transform(own, lambda p: confs[list_position(nos, p)])) ELSE list_avg(confs) END, 3) AS ocr_confidence
   FROM scoped
 )"""
 
@@ -39,12 +39,15 @@ def scoped_oracle(select: str) -> str:
     return with_tables(f"WITH {SCOPED}\n{select}", "ocr_pages", "packet_documents")
 
 
-@query(with_tables(f"""WITH l AS (SELECT load_id, doc_seq, {RANGE_LIST} AS pages FROM packet_documents)
-SELECT load_id, doc_seq, unnest(pages) AS page_no, cast(unnest(range(len(pages))) AS INTEGER) AS place FROM l""", "packet_documents"))
+@query(with_tables(f"""WITH l AS (SELECT load_id, doc_seq, page_range, {RANGE_LIST} AS pages FROM packet_documents)
+SELECT load_id, doc_seq, unnest(pages) AS page_no, cast(unnest(range(len(pages))) AS INTEGER) AS place, cast(len(pages) AS VARCHAR) AS named FROM l
+UNION ALL SELECT load_id, doc_seq, NULL, NULL, CASE WHEN page_range LIKE '9000000000-%' THEN '9999999991000000000000' ELSE '0' END FROM l WHERE len(pages) = 0""", "packet_documents"))
 def c4_parse_page_range(spark, sf_dir):
-    docs = table(spark, sf_dir, "packet_documents")
+    """Every named page; a range without any, or with more than a row can list, has its count alone."""
+    docs, text_of = table(spark, sf_dir, "packet_documents"), F.col("page_range")
     return docs.select(
-        "load_id", "doc_seq", F.posexplode(page_ranges.parse_page_range(F.col("page_range"))).alias("place", "page_no")
+        "load_id", "doc_seq", page_ranges.named_pages(text_of).cast("string").alias("named"),
+        F.posexplode_outer(page_ranges.parse_page_range(text_of)).alias("place", "page_no")
     )
 
 
@@ -86,7 +89,7 @@ CHUNK_PAGES = 3
 def _chunks(pages: DataFrame) -> DataFrame:
     """OCR chunks of three pages with each page's text in two segments, as the service returns them."""
     chunk = F.floor((F.col("page_no") - 1) / CHUNK_PAGES).cast("bigint")
-    rows = F.array_sort(F.collect_list(F.struct("page_no", "page_text")))
+    rows = F.array_sort(F.collect_list(F.struct("page_no", "page_text", "page_conf")))
     grouped = pages.groupBy("load_id", chunk.alias("chunk_no")).agg(rows.alias("p"))
     texts = F.col("p.page_text")
     start = lambda i: F.length(F.array_join(F.slice(texts, 1, i), "")) + i
@@ -97,7 +100,8 @@ def _chunks(pages: DataFrame) -> DataFrame:
             F.struct((start(i) + F.floor(F.length(t) / 2)).cast("int").alias("start"), (start(i) + F.length(t)).alias("end")),
         ),
     )
-    return grouped.select("load_id", "chunk_no", F.array_join(texts, "\n").alias("chunk_text"), segments.alias("pages"))
+    return grouped.select("load_id", "chunk_no", F.array_join(texts, "\n").alias("chunk_text"), segments.alias("pages"),
+        F.col("p.page_conf").alias("page_confs"))
 
 
 @query(with_tables("""WITH c AS (
@@ -112,10 +116,22 @@ def c10_stitch_chunks(spark, sf_dir):
     return page_ops.stitch_chunks(chunks.withColumn("chunk_text", F.when(blank, "").otherwise(F.col("chunk_text"))))
 
 
-@query(with_tables("SELECT load_id, page_no, page_text FROM ocr_pages", "ocr_pages"))
+_GAPLESS = """gapless AS (
+  SELECT load_id, cast(row_number() OVER (PARTITION BY load_id ORDER BY page_no) AS INTEGER) AS page_no, page_text, page_conf FROM ocr_pages)"""
+
+
+def _gapless(spark, sf_dir) -> DataFrame:
+    """The pages as a service numbers them: without gaps."""
+    pages = table(spark, sf_dir, "ocr_pages")
+    return pages.withColumn("page_no", F.row_number().over(Window.partitionBy("load_id").orderBy("page_no")))
+
+
+@query(with_tables(f"WITH {_GAPLESS} SELECT load_id, page_no, page_text, round(page_conf, 9) AS page_conf FROM gapless", "ocr_pages"))
 def c11_slice_page_text(spark, sf_dir):
-    sliced = page_ops.slice_page_text(_chunks(table(spark, sf_dir, "ocr_pages")))
-    return page_ops.stitch_pages(sliced, CHUNK_PAGES).select("load_id", "page_no", "page_text")
+    """Texts and confidences of chunked pages, numbered through the packet again."""
+    sliced = page_ops.slice_page_text(_chunks(_gapless(spark, sf_dir)))
+    pages = page_ops.stitch_pages(sliced, CHUNK_PAGES)
+    return pages.select("load_id", "page_no", "page_text", F.round("page_conf", 9).alias("page_conf"))
 
 
 @query(with_tables("""SELECT o.load_id, c.n IS NOT NULL AS ocr_cached, coalesce(c.n, 0) AS cached_pages
@@ -126,9 +142,24 @@ def d2_ocr_lookup(spark, sf_dir):
     return page_ops.ocr_lookup(loads, table(spark, sf_dir, "ocr_cache_pages"))
 
 
+@query(with_tables("SELECT load_id, page_no, page_text, round(page_conf, 9) AS page_conf FROM ocr_cache_pages WHERE cast(load_id AS BIGINT) % 2 = 0",
+                   "ocr_cache_pages"))
+def d2_cached_pages(spark, sf_dir):
+    """The stored pages of the even loads."""
+    loads = table(spark, sf_dir, "ocr_pages").select("load_id").filter(F.col("load_id").cast("bigint") % 2 == 0)
+    pages = page_ops.cached_pages(loads, table(spark, sf_dir, "ocr_cache_pages"))
+    return pages.withColumn("page_conf", F.round("page_conf", 9))
+
+
+@query(with_tables("SELECT DISTINCT load_id FROM ocr_pages WHERE load_id NOT IN (SELECT load_id FROM ocr_cache_pages)", "ocr_pages", "ocr_cache_pages"))
+def d2_cache_misses(spark, sf_dir):
+    loads = table(spark, sf_dir, "ocr_pages").select("load_id").distinct()
+    return page_ops.cache_misses(loads, table(spark, sf_dir, "ocr_cache_pages"))
+
+
 @query(scoped_oracle("""SELECT load_id, doc_seq, page_no, page_text, round(page_conf, 9) AS page_conf
-FROM (SELECT load_id, doc_seq, unnest(own) AS page_no, unnest(list_transform(own, lambda p: texts[p])) AS page_text,
-             unnest(list_transform(own, lambda p: confs[p])) AS page_conf FROM joined)"""))
+FROM (SELECT load_id, doc_seq, unnest(own) AS page_no, unnest(list_transform(own, lambda p: texts[list_position(nos, p)])) AS page_text,
+             unnest(list_transform(own, lambda p: confs[list_position(nos, p)])) AS page_conf FROM joined)"""))
 def d4_docs_to_pages(spark, sf_dir):
     rows = page_ops.docs_to_pages(table(spark, sf_dir, "packet_documents"), table(spark, sf_dir, "ocr_pages"))
     return rows.select("load_id", "doc_seq", "page_no", "page_text", F.round("page_conf", 9).alias("page_conf"))
@@ -149,8 +180,8 @@ def e3_doc_confidence(spark, sf_dir):
 def a3_read_ocr_cache(spark, sf_dir):
     """Beside every entry lies one cut short and one without its page texts; both must read as misses."""
     out = scratch_dir(spark, "a3")
-    line = F.to_json(F.struct("load_id", "full_text", "page_text", "page_conf", "first_page"))
-    partial = F.to_json(F.struct("load_id", "full_text", "page_conf", "first_page"))
+    line = F.to_json(F.struct("load_id", "full_text", "page_text", "page_conf", "page_no"))
+    partial = F.to_json(F.struct("load_id", "full_text", "page_conf", "page_no"))
     lines = F.explode(F.array(line, F.left(line, F.length(line) - 3), partial))
     writers.ocr_entries(table(spark, sf_dir, "ocr_cache_pages")).select(lines.alias("value")).write.mode("overwrite").text(out)
     pages = readers.read_ocr_entries(spark, out)

@@ -73,7 +73,7 @@ def e11_usage_drift_by_load(spark, sf_dir):
 @query(with_tables("""SELECT *, ok + failed + invalid AS done, round((ok + failed + invalid) / cast(3600 AS double) * 60, 6) AS per_minute,
   round((ok + failed + invalid) * cast(100 AS double) / total, 6) AS percent,
   round((total - ok - failed - invalid) * cast(3600 AS double) / (ok + failed + invalid), 6) AS eta_seconds
-FROM (SELECT count(*) FILTER (WHERE status = 'ok') AS ok, count(*) FILTER (WHERE status = 'failed') AS failed,
+FROM (SELECT count(*) FILTER (WHERE status = 'ok') AS ok, count(*) FILTER (WHERE status IS NULL OR status = 'failed') AS failed,
         count(*) FILTER (WHERE status = 'invalid') AS invalid, (SELECT count(*) FROM manifest) AS total FROM run_results)""", "run_results"))
 def e12_run_status(spark, sf_dir):
     """An hour into a run over everything the manifest lists."""
@@ -96,7 +96,12 @@ def b3_write_quarantine(spark, sf_dir):
     return readers.read_quarantine(spark, out, "recorded").select("load_id", "status", "detail")
 
 
-FIELDS = ["load_number", "line_haul", "fuel_surcharge", "weight_unit", "carrier_mc", "delivery_date"]
+# Every column of the table.
+FIELDS = [
+    "load_id", "doc_seq", "doc_type_raw", "load_number", "rate_total", "line_haul", "fuel_surcharge", "weight", "weight_unit",
+    "pallet_count", "pieces", "pieces_received", "miles", "pickup_date", "delivery_date", "broker_name", "carrier_name",
+    "carrier_mc", "origin_state", "destination_state", "commodity", "equipment_type_raw", "is_signed_delivery_copy",
+]
 
 
 @query(with_tables(" UNION ALL ".join(
@@ -104,7 +109,7 @@ FIELDS = ["load_number", "line_haul", "fuel_surcharge", "weight_unit", "carrier_
   round(count(*) FILTER (WHERE {f} IS NULL) / cast(count(*) AS double), 6) AS null_share FROM freight_documents""" for f in FIELDS
 ), "freight_documents"))
 def e14_null_profile(spark, sf_dir):
-    return profiles.null_profile(table(spark, sf_dir, "freight_documents"), FIELDS)
+    return profiles.null_profile(table(spark, sf_dir, "freight_documents"))
 
 
 @query(with_tables("SELECT equipment_type_raw AS value, count(*) AS n_rows FROM freight_documents GROUP BY 1", "freight_documents"))

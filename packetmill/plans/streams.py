@@ -17,8 +17,8 @@ def _stream(spark: SparkSession, sf_dir: str, base: str, name: str) -> DataFrame
     """A derived table over a base table that is read as a stream of files."""
     schema = fixtures.base(spark, sf_dir, base).schema
     rows = spark.readStream.schema(schema).option("pathGlobFilter", f"{base}.parquet").parquet(sf_dir)
-    rows.createOrReplaceTempView(base)
-    return spark.sql(fixtures.SQL[name])
+    rows.createOrReplaceTempView(f"{fixtures.VIEW}stream_{base}")
+    return spark.sql(fixtures.over_views(fixtures.SQL[name], [base]).replace(fixtures.VIEW, f"{fixtures.VIEW}stream_"))
 
 
 def _pdf_stream(spark: SparkSession, sf_dir: str) -> DataFrame:

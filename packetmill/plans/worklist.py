@@ -9,7 +9,7 @@ from packetmill.functions import ids
 from packetmill.functions.imaging import page_tiles, page_zoom
 from packetmill.functions.triage import is_transient
 from packetmill.operators import manifest
-from packetmill.plans.fixtures import OUTPUT_PREFIX, RAW_PREFIX, base, table, with_tables
+from packetmill.plans.fixtures import OUTPUT_PREFIX, RAW_PREFIX, VIEW, base, over_views, table, with_tables
 from packetmill.plans.registry import query
 from packetmill.session import scratch_dir
 from packetmill.sources import writers
@@ -55,10 +55,10 @@ def c1_load_id(spark, sf_dir):
     return table(spark, sf_dir, "manifest").select("path", ids.load_id(F.col("path"), RAW_PREFIX).alias("load_id"))
 
 
-@query(_oracle("SELECT DISTINCT load_id, sort_key FROM keyed"))
+@query(_oracle("SELECT DISTINCT load_id, cast(sort_key AS VARCHAR) AS sort_key FROM keyed"))
 def c2_load_sort_key(spark, sf_dir):
     loads = _files(spark, sf_dir).select("load_id").distinct()
-    return loads.select("load_id", ids.load_sort_key(F.col("load_id")).cast("bigint").alias("sort_key"))
+    return loads.select("load_id", ids.load_sort_key(F.col("load_id")).cast("string").alias("sort_key"))
 
 
 @query(_oracle("""SELECT path,
@@ -90,9 +90,9 @@ FROM part"""
 SELECT page_key, round(zoom, 6) AS zoom, cast(ceil(width * zoom / 768) AS BIGINT) * cast(ceil(height * zoom / 768) AS BIGINT) AS tiles
 FROM y""")
 def c12_page_image_plan(spark, sf_dir):
-    base(spark, sf_dir, "part").createOrReplaceTempView("part")
+    base(spark, sf_dir, "part").createOrReplaceTempView(f"{VIEW}part")
     w, h = F.col("width"), F.col("height")
-    return spark.sql(IMAGE_SIZES).select(
+    return spark.sql(over_views(IMAGE_SIZES, ["part"])).select(
         "page_key", F.round(page_zoom(w, h), 6).alias("zoom"), page_tiles(w, h).alias("tiles")
     )
 
@@ -117,10 +117,10 @@ def e1_files_per_load(spark, sf_dir):
     return manifest.files_per_load(_files(spark, sf_dir)).withColumn("is_multi", F.col("doc_count") > 1)
 
 
-@query(_oracle("SELECT load_id, path, sort_key FROM work ORDER BY sort_key DESC, path"))
+@query(_oracle("SELECT load_id, path, cast(sort_key AS VARCHAR) AS sort_key FROM work"))
 def g1_ordered_worklist(spark, sf_dir):
     work = manifest.worklist(_files(spark, sf_dir), _done(spark, sf_dir))
-    return manifest.ordered_worklist(work, newest_first=True).withColumn("sort_key", F.col("sort_key").cast("bigint"))
+    return manifest.ordered_worklist(work, newest_first=True).withColumn("sort_key", F.col("sort_key").cast("string"))
 
 
 @query(_oracle("SELECT load_id, path FROM work ORDER BY sort_key, path LIMIT 100"))
