@@ -26,11 +26,22 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Rows with whole texts are large; small Arrow batches keep both ends of a transfer small.
+ARROW_ROWS = 2000
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """The package's session settings, and small Arrow batches."""
+    configure(spark).conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return spark
+
+
 def pack(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``id``, ``text`` and all columns of the input as one struct ``row``.
 
     Whatever the input's columns are called, they cannot clash with an operator's own.
     """
+    prepare(docs.sparkSession)
     return docs.select(
         F.col(id_col).cast("long").alias("id"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
@@ -47,8 +58,7 @@ def unpack(df: DataFrame, *added: Column) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    configure(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 Query = Callable[[SparkSession, str], DataFrame]

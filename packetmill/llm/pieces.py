@@ -35,10 +35,15 @@ def byte_letters() -> list[str]:
 
 
 def slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Row ranges of a text column of about ``most`` bytes each; a longer text stands alone."""
+    """Row ranges of a text column of about ``most`` bytes each; a longer text stands alone.
+
+    Memory that Arrow holds of the slice before is given back first.
+    """
+    pool = pa.default_memory_pool()
     ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < len(column):
+        pool.release_unused()
         before = ends[at - 1] if at else 0
         to = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
         yield at, to
