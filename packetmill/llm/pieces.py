@@ -22,6 +22,7 @@ from tokenizers import Tokenizer
 # The pattern of the tokenizer file's pre-tokenizer, for plain chunks.
 PLAIN_PIECE = r"('s|'t|'re|'ve|'m|'ll|'d|\pL+|\pN|[^\s\pL\pN]+)"
 PLAIN_CHUNK = "^[!-~À-ÿ]*$"
+MARKS = ",.;:!?*#$%&|-"  # after a word, any run of these is one piece
 SPECIAL_MARK = "\0"  # a piece that starts with it is a special token; text never makes such a piece
 SLICE_BYTES = 6 << 20
 
@@ -97,18 +98,41 @@ class Splitter:
         chunks, distinct = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
         plain = pc.match_substring_regex(distinct, PLAIN_CHUNK).to_numpy(zero_copy_only=False)
         plain &= ~pc.match_substring(distinct, "<|").to_numpy(zero_copy_only=False)
+        # Most plain chunks are a word, or a word and then marks; those need no expression.
+        heads = pc.utf8_rtrim(distinct, MARKS)
+        simple = plain & pc.utf8_is_alpha(heads).to_numpy(zero_copy_only=False)
+        cut, cut_counts = _heads_and_marks(distinct.filter(pa.array(simple)), heads.filter(pa.array(simple)))
+        plain &= ~simple
         spaced = pc.replace_substring_regex(pc.utf8_lower(distinct.filter(pa.array(plain))), PLAIN_PIECE, r"\1 ")
-        cut = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(spaced))
-        odd = [self.odd_chunk(c) for c in distinct.filter(pa.array(~plain)).to_pylist()]
-        # Plain chunks come first in the ragged table, odd ones after them; chunk numbers follow.
+        mixed = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(spaced))
+        rest = ~(simple | plain)
+        odd = [self.odd_chunk(c) for c in distinct.filter(pa.array(rest)).to_pylist()]
+        # The ragged table holds simple chunks, then mixed ones, then odd ones; chunk numbers follow.
         place = np.empty(len(distinct), np.int64)
-        place[plain] = np.arange(plain.sum())
-        place[~plain] = plain.sum() + np.arange(len(odd))
-        cut_offsets = cut.offsets.to_numpy().astype(np.int64)
-        chunk_offsets = np.r_[cut_offsets - cut_offsets[0], cut_offsets[-1] - cut_offsets[0] + np.cumsum([len(x) for x in odd])]
-        words = pa.concat_arrays([cut.flatten(), pa.array(list(chain(*odd)), pa.large_string())]).dictionary_encode()
+        at = 0
+        for kind in (simple, plain, rest):
+            place[kind] = at + np.arange(kind.sum())
+            at += kind.sum()
+        counts = np.concatenate([cut_counts, np.diff(mixed.offsets.to_numpy()), [len(x) for x in odd]]).astype(np.int64)
+        chunk_offsets = np.r_[0, np.cumsum(counts)]
+        words = pa.concat_arrays([cut, mixed.flatten(), pa.array(list(chain(*odd)), pa.large_string())]).dictionary_encode()
         pieces = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        return doc_offsets, place[chunks], chunk_offsets.astype(np.int64), pieces, words.dictionary.to_pylist()
+        return doc_offsets, place[chunks], chunk_offsets, pieces, words.dictionary.to_pylist()
+
+
+def _heads_and_marks(chunks: pa.Array, heads: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Each chunk's word in lower case and the marks after it, if any, and how many pieces that is."""
+    if not len(chunks):
+        return pa.array([], pa.large_string()), np.zeros(0, np.int64)
+    ends = np.cumsum(pc.binary_length(chunks).to_numpy())
+    first = np.frombuffer(chunks.buffers()[1], np.int64)[chunks.offset]
+    both = np.empty(2 * len(chunks) + 1, np.int64)
+    both[0], both[2::2] = first, first + ends
+    both[1::2] = both[:-1:2] + pc.binary_length(heads).to_numpy()
+    # The chunks lie one after the other in their buffer, which need only be cut at more places.
+    parts = pa.LargeStringArray.from_buffers(2 * len(chunks), pa.py_buffer(both), chunks.buffers()[2])
+    filled = np.diff(both) > 0
+    return pc.utf8_lower(parts.filter(pa.array(filled))), 1 + filled[1::2]
 
 
 class PieceIds:
