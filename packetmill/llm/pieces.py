@@ -9,6 +9,7 @@ and pre-tokenizer.
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Callable, Iterator
 from functools import cache
@@ -24,7 +25,7 @@ PLAIN_PIECE = r"('s|'t|'re|'ve|'m|'ll|'d|\pL+|\pN|[^\s\pL\pN]+)"
 PLAIN_CHUNK = "^[!-~À-ÿ]*$"
 MARKS = ",.;:!?*#$%&|-"  # after a word, any run of these is one piece
 SPECIAL_MARK = "\0"  # a piece that starts with it is a special token; text never makes such a piece
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 12 << 20
 
 
 def byte_letters() -> list[str]:
@@ -65,6 +66,7 @@ class Splitter:
     """Pieces of whole columns of text, as the given tokenizer file splits them."""
 
     def __init__(self, tokenizer_json: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.special = {t.content: i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         self._cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")")
@@ -138,7 +140,7 @@ def _heads_and_marks(chunks: pa.Array, heads: pa.Array) -> tuple[pa.Array, np.nd
 class PieceIds:
     """Ids of pieces, remembered by the worker; forgotten all at once beyond ``most`` pieces."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 400_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 1_000_000):
         self.encode, self.most = encode, most
         self._forget()
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from packetmill.llm.common import stored
-from packetmill.llm.pieces import SPECIAL_MARK, PieceIds, Splitter, encode_column, slices
+from packetmill.llm.pieces import SPECIAL_MARK, PieceIds, Splitter, byte_letters, encode_column, slices
 from packetmill.session import scratch_dir
 
 FRAME_IDS = 1 << 15
@@ -143,16 +143,22 @@ def open_folder(path: str) -> tuple[fs.FileSystem, str]:
 
 
 class LibraryEncoder:
-    """Whole columns of text encoded by the tokenizers library, every distinct piece once."""
+    """Whole columns of text encoded by the tokenizers library, every distinct piece once.
+
+    Pieces are normalised and cut already, so they go to the library's BPE model itself, spelled in
+    the letters that it writes bytes with.
+    """
 
     def __init__(self, tokenizer_json: str):
         self.splitter = Splitter(tokenizer_json)
-        self.pieces = PieceIds(self._pieces)
-
-    def _pieces(self, words: list[str]) -> list[list[int]]:
-        named = [w.startswith(SPECIAL_MARK) and w[1:] in self.splitter.special for w in words]
-        found = iter(self.splitter.tokenizer.encode_batch_fast([w for w, n in zip(words, named) if not n], add_special_tokens=False))
-        return [[self.splitter.special[w[1:]]] if n else next(found).ids for w, n in zip(words, named)]
+        self.model = self.splitter.tokenizer.model
+        self.letters = dict(enumerate(byte_letters()))
+        self.pieces = PieceIds(lambda words: list(map(self._piece, words)))
+
+    def _piece(self, word: str) -> list[int]:
+        if word.startswith(SPECIAL_MARK) and word[1:] in self.splitter.special:
+            return [self.splitter.special[word[1:]]]
+        return [token.id for token in self.model.tokenize(word.encode().decode("latin-1").translate(self.letters))]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         return encode_column(self.splitter, self.pieces.ragged, texts)
