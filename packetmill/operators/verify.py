@@ -80,6 +80,10 @@ def _edges(body: Column) -> Column:
     ).otherwise(body)
 
 
+def _mean(total: str, n: str) -> Column:
+    return F.col(total) / F.nullif(F.col(n), F.lit(0))
+
+
 def _put_together(pieces: DataFrame, keys: list[str], order: list[str], n_fields: int) -> DataFrame:
     """Join neighbouring pieces, search their seams and shorten them to their edges again."""
     parts = F.array_sort(F.collect_list(F.struct(*order, "body")))
@@ -88,6 +92,8 @@ def _put_together(pieces: DataFrame, keys: list[str], order: list[str], n_fields
         F.any_value("sought").alias("sought"),
         F.any_value("edge").alias("edge"),
         F.bit_or("found").alias("found"),
+        F.sum("conf_sum").alias("conf_sum"),
+        F.sum("conf_n").alias("conf_n"),
     ).withColumns({
         "found": F.col("found").bitwiseOR(_found_in(n_fields)),
         "body": _edges(F.col("body")),
@@ -95,14 +101,16 @@ def _put_together(pieces: DataFrame, keys: list[str], order: list[str], n_fields
 
 
 def _search_pages(per_page: DataFrame, n_fields: int) -> DataFrame:
-    """Search every page for what its document seeks; ``load_id, doc_seq, found``."""
+    """Search every page for what its document seeks; ``load_id, doc_seq, found, conf``."""
     searched = per_page.withColumns({
         "found": _found_in(n_fields),
         "body": _edges(F.col("body")),
+        "conf_sum": F.col("page_conf"),
+        "conf_n": F.when(F.col("page_conf").isNotNull(), 1).otherwise(0),
     })
     stretches = _put_together(searched, ["span_no", "run"], ["page_no"], n_fields)
     checked = _put_together(stretches, [], ["span_no", "run"], n_fields)
-    return checked.select("load_id", "doc_seq", "found")
+    return checked.select("load_id", "doc_seq", "found", _mean("conf_sum", "conf_n").alias("conf"))
 
 
 def _own_pages(scoped: DataFrame, norm_pages: DataFrame) -> DataFrame:
@@ -116,37 +124,23 @@ def _page_strings(pages: DataFrame) -> DataFrame:
 
     ``pages`` are non-blank and carry the load's ``sizes`` and ``edge``. A string inside a page comes
     from its text. A string over page breaks starts in the end of one page and goes on into the
-    beginnings of the following ones, which are gathered in stretches of RUN page numbers and, at a
-    stretch's end, from the beginnings of the next stretches.
+    beginnings of the following ones; only these edges pass through a window over a load's pages.
     """
     sized = pages.select("load_id", "page_no", "body", F.explode("sizes").alias("size")).filter(F.length("body") >= F.col("size"))
     starts = F.explode(F.sequence(F.lit(1), F.length("body") - F.col("size") + 1))
     inside = sized.select("load_id", "page_no", "body", "size", starts.alias("at")).select(
         "load_id", F.substr("body", F.col("at"), F.col("size")).alias("value"), F.col("page_no").alias("first"), F.col("page_no").alias("last"))
 
-    # Beginnings as text and, character by character, the page each one lies on.
-    def text_of(parts: Column) -> Column:
-        return F.array_join(F.transform(parts, lambda x: x["head"]), "")
-
-    def numbers_of(parts: Column) -> Column:
-        return F.flatten(F.transform(parts, lambda x: F.array_repeat(x["page_no"], F.length(x["head"]))))
-
     edge = F.col("edge")
-    stretch = F.floor((F.col("page_no") - 1) / page_ranges.RUN)
-    piece = F.struct("page_no", F.left("body", edge).alias("head"), F.right("body", edge).alias("tail"))
-    stretches = pages.groupBy("load_id", stretch.alias("stretch")).agg(
-        F.array_sort(F.collect_list(piece)).alias("pieces"), F.any_value("edge").alias("edge"), F.any_value("sizes").alias("sizes"))
+    edges = pages.select("load_id", "page_no", "sizes", "edge", F.left("body", edge).alias("head"), F.right("body", edge).alias("tail"))
     # Every page has a character, so LONGEST of them always reach far enough.
-    lead = stretches.select("load_id", "stretch", F.slice("pieces", 1, LONGEST).alias("lead"))
-    following = Window.partitionBy("load_id").orderBy("stretch").rowsBetween(1, LONGEST)
-    lead = lead.select("load_id", "stretch", F.slice(F.flatten(F.collect_list("lead").over(following)), 1, LONGEST).alias("next"))
-    rows = stretches.join(lead, ["load_id", "stretch"])
-    all_pieces = F.concat("pieces", "next")
-    rows = rows.select("load_id", "edge", "sizes", F.posexplode("pieces").alias("i", "piece"), all_pieces.alias("all")).select(
-        "load_id", "edge", "sizes", F.col("piece.page_no").alias("first"), F.col("piece.tail").alias("tail"),
-        F.slice("all", F.col("i") + 2, LONGEST).alias("after"))
-    rows = rows.select("load_id", "sizes", "first", "tail", F.left(text_of(F.col("after")), edge).alias("after"),
-                       numbers_of(F.col("after")).alias("numbers"))
+    following = Window.partitionBy("load_id").orderBy("page_no").rowsBetween(1, LONGEST)
+    parts = F.collect_list(F.struct("page_no", "head")).over(following)
+    rows = edges.select("load_id", "sizes", "edge", F.col("page_no").alias("first"), "tail", parts.alias("parts")).select(
+        "load_id", "sizes", "first", "tail",
+        F.left(F.array_join(F.transform("parts", lambda x: x["head"]), ""), edge).alias("after"),
+        # Character by character, the page that each one lies on.
+        F.flatten(F.transform("parts", lambda x: F.array_repeat(x["page_no"], F.length(x["head"])))).alias("numbers"))
     rows = rows.filter("after <> ''").select("*", F.explode("sizes").alias("size")).filter("size > 1")
     # k characters from the end of the page, the others from what follows.
     least, most = F.greatest(F.col("size") - F.length("after"), F.lit(1)), F.least(F.length("tail"), F.col("size") - 1)
@@ -200,13 +194,12 @@ def check_documents(docs: DataFrame, pages: DataFrame, heavy: int = HEAVY) -> Da
         "load_id", "doc_seq", "spans", "sought", F.greatest(longest - 1, F.lit(0)).alias("edge"),
         F.coalesce(wide & (F.col("n_wide") * F.col("last_page") > heavy), F.lit(False)).alias("by_value"),
     )
-    norm_pages = pages.select("load_id", "page_no", text.norm(F.col("page_text")).alias("body"))
+    norm_pages = pages.select("load_id", "page_no", text.norm(F.col("page_text")).alias("body"), "page_conf")
     paged = _search_pages(_own_pages(scoped.filter("NOT by_value"), norm_pages), len(fields))
-    found = paged.unionByName(_search_by_value(scoped.filter("by_value"), norm_pages))
-    scored = confidence_sums(scoped.select("load_id", "doc_seq", "spans"), pages)
-    conf = F.max("conf_sum") / F.nullif(F.max("conf_n"), F.lit(0))
-    results = scored.unionByName(found, allowMissingColumns=True).groupBy("load_id", "doc_seq").agg(
-        F.max("found").alias("found"), conf.alias("conf"))
+    by_value = scoped.filter("by_value")
+    scored = confidence_sums(by_value, norm_pages).select("load_id", "doc_seq", _mean("conf_sum", "conf_n").alias("conf"))
+    valued = scored.join(_search_by_value(by_value, norm_pages), ["load_id", "doc_seq"], "left")
+    results = paged.unionByName(valued)
     return docs.withColumn("sought", sought).join(results, ["load_id", "doc_seq"], "left").select(
         *docs.columns, F.round("conf", 3).alias("ocr_confidence"), _unverified(docs).alias("unverified_fields")
     )
