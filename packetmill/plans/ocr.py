@@ -41,7 +41,7 @@ def scoped_oracle(select: str) -> str:
 
 @query(with_tables(f"""WITH l AS (SELECT load_id, doc_seq, page_range, {RANGE_LIST} AS pages FROM packet_documents)
 SELECT load_id, doc_seq, unnest(pages) AS page_no, cast(unnest(range(len(pages))) AS INTEGER) AS place, cast(len(pages) AS VARCHAR) AS named FROM l
-UNION ALL SELECT load_id, doc_seq, NULL, NULL, CASE WHEN page_range LIKE '9000000000-%' THEN '9999999991000000000000' ELSE '0' END FROM l WHERE len(pages) = 0""", "packet_documents"))
+UNION ALL SELECT load_id, doc_seq, NULL, NULL, CASE WHEN page_range LIKE '9000000000-%' THEN '9999999999991000000000' ELSE '0' END FROM l WHERE len(pages) = 0""", "packet_documents"))
 def c4_parse_page_range(spark, sf_dir):
     """Every named page; a range without any, or with more than a row can list, has its count alone."""
     docs, text_of = table(spark, sf_dir, "packet_documents"), F.col("page_range")
