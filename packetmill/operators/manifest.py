@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from packetmill.functions import ids, triage
 from packetmill.operators.joins import join_summary
+from packetmill.operators.ranking import with_position
 
 # Fixed value: pages one synchronous OCR call accepts.
 OCR_PAGE_LIMIT = 30
@@ -70,6 +71,12 @@ def ordered_worklist(work: DataFrame, newest_first: bool = False) -> DataFrame:
     return work.orderBy(key, F.col("path").asc())
 
 
+def positioned_worklist(work: DataFrame, newest_first: bool = False) -> DataFrame:
+    """The ordered list as a table: every entry with its ``position`` from 1."""
+    key = F.col("sort_key").desc() if newest_first else F.col("sort_key").asc()
+    return with_position(work, key, F.col("path").asc())
+
+
 def limited_worklist(work: DataFrame, n: int | None, newest_first: bool = False) -> DataFrame:
     """The first n entries of the ordered list; all of them when n is None."""
     ordered = ordered_worklist(work, newest_first)

@@ -123,6 +123,12 @@ def g1_ordered_worklist(spark, sf_dir):
     return manifest.ordered_worklist(work, newest_first=True).withColumn("sort_key", F.col("sort_key").cast("string"))
 
 
+@query(_oracle("""SELECT load_id, path, row_number() OVER (ORDER BY sort_key DESC, path) AS position FROM work"""))
+def g1_worklist_positions(spark, sf_dir):
+    work = manifest.worklist(_files(spark, sf_dir), _done(spark, sf_dir))
+    return manifest.positioned_worklist(work, newest_first=True).select("load_id", "path", "position")
+
+
 @query(_oracle("SELECT load_id, path FROM work ORDER BY sort_key, path LIMIT 100"))
 def g2_limited_worklist(spark, sf_dir):
     work = manifest.worklist(_files(spark, sf_dir), _done(spark, sf_dir))

@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings the operators count on. Adaptive execution splits a hot join key into several
 # tasks; forcing it keeps that true when the split costs one more exchange further up the plan.
@@ -54,3 +54,11 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     if spark.sparkContext.master.startswith("local"):
         return tempfile.mkdtemp(prefix=f"run-{name}-")
     raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows, written once under the shared scratch folder and read from there."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
