@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetmill.llm import bpe, exact_dedup, html_text, jaccard, langid, mixing, quality, secrets, token_files, topk
+from packetmill.llm import (bpe, exact_dedup, html_text, jaccard, langid, mixing, quality, resample, secrets, token_files,
+                            topk)
 from packetmill.llm.common import stored, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -62,6 +63,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return resample.resample(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
+
+
 def _spans_sql(no: int, rule: secrets.Rule) -> str:
     """Per document the spans of one rule; list sums over the pieces give the positions."""
     pattern = rule.pattern.replace("'", "''")
@@ -108,6 +114,44 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 20
 """
 
+# CRC-32 by its table, which SQL derives bit by bit; the words' UTF-8 bytes come from their hexadecimal form.
+OP13_SQL = r"""
+WITH crc AS (
+  SELECT list(c ORDER BY i) AS steps FROM (
+    SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]),
+                          lambda c, bit: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+    FROM (SELECT unnest(range(256)) AS i))),
+words AS (
+  SELECT true AS corpus, doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word FROM documents
+  UNION ALL
+  SELECT false, item_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark),
+spelled AS (
+  SELECT word, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(1, strlen(word) + 1),
+                 lambda i: CAST('0x' || substr(hex(encode(word)), CAST(2 * i - 1 AS INTEGER), 2) AS BIGINT))),
+    lambda c, b: xor(c // 256, steps[CAST(xor(c, b) % 256 AS INTEGER) + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT word FROM words), crc),
+counts AS (
+  SELECT bucket, count(*) FILTER (corpus) AS s, count(*) FILTER (NOT corpus) AS t FROM words JOIN spelled USING (word) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln(CAST(t + 1 AS DOUBLE) * CAST(sum(s) OVER () + 10000 AS DOUBLE)
+                                 / (CAST(s + 1 AS DOUBLE) * CAST(sum(t) OVER () + 10000 AS DOUBLE)))) AS gain FROM counts),
+weights AS (
+  SELECT doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight
+  FROM words JOIN spelled USING (word) JOIN gains USING (bucket) WHERE corpus GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+           (CAST('0x' || substr(sha256('2024:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM documents LEFT JOIN weights USING (doc_id)),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+         count(*) FILTER (n_features >= 20) OVER () AS n FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= n // 10 THEN place END AS rank FROM placed
+"""
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_language_id": op2_language_id,
@@ -119,9 +163,11 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_files": op10_token_files,
+    "op13_resampling": op13_resampling,
 }
 ORACLES = {
     "op1_secrets": OP1_SQL,
     "op5_exact_dedup": OP5_SQL,
     "op7_topk": OP7_SQL,
+    "op13_resampling": OP13_SQL,
 }
