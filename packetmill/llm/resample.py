@@ -31,6 +31,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from packetmill.llm.common import pack, stored, unpack
 from packetmill.operators.ranking import with_position
@@ -83,8 +84,8 @@ def features(texts: DataFrame, max_words: int, buckets: int) -> tuple[DataFrame,
     others = [f for f in texts.schema.fields if f.name != "text"]
     added = ["n_words long", "n_features long", "places binary", "counts binary"]
     run, place_type = _feature_rows(max_words, buckets, [f.name for f in others] + [a.split()[0] for a in added])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in others] + added
-    return texts.select("text", *[f"`{f.name}`" for f in others]).mapInArrow(run, ", ".join(fields)), place_type
+    schema = StructType(others + list(StructType.fromDDL(", ".join(added))))
+    return texts.select("text", *[f"`{f.name}`" for f in others]).mapInArrow(run, schema), place_type
 
 
 def bucket_counts(rows: DataFrame, place_type: str, buckets: int) -> DataFrame:
