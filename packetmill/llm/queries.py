@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetmill.llm import (bpe, exact_dedup, html_text, jaccard, langid, mixing, quality, resample, secrets, token_files,
-                            topk)
+from packetmill.llm import (bpe, exact_dedup, html_text, jaccard, langid, mixing, quality, resample, secrets, simhash,
+                            token_files, topk)
 from packetmill.llm.common import stored, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -63,6 +63,11 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs, words=3, distance=2, keep_text=False)
+
+
 def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return resample.resample(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
@@ -163,6 +168,7 @@ QUERIES = {
     "op8_html_text": op8_html_text,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_files": op10_token_files,
+    "op11_simhash": op11_simhash,
     "op13_resampling": op13_resampling,
 }
 ORACLES = {
