@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetmill.llm import (bpe, exact_dedup, html_text, jaccard, langid, mixing, quality, resample, secrets, simhash,
-                            token_files, topk)
+from packetmill.llm import (bpe, exact_dedup, hard_negatives, html_text, jaccard, langid, mixing, quality, resample,
+                            secrets, simhash, token_files, topk)
 from packetmill.llm.common import stored, table
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +68,11 @@ def op11_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(docs, words=3, distance=2, keep_text=False)
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 100 == 0, label=label)
+
+
 def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return resample.resample(docs, table(spark, sf_dir, "benchmark"), keep_text=False)
@@ -119,6 +124,24 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
 WHERE rank <= 20
 """
 
+OP12_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS row_no, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.row_no AS anchor_no, a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_dot_product(a.e, c.e) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND a.row_no <> c.row_no AND len(a.e) = len(c.e)),
+positives AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY anchor_no ORDER BY score DESC, vec_id) AS nth FROM scored WHERE same) WHERE nth <= 5),
+windows AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_no, p.nth ORDER BY n.score DESC, n.vec_id) AS place
+  FROM positives p JOIN scored n ON p.anchor_no = n.anchor_no AND NOT n.same
+       AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score)
+SELECT anchor_id, positive_id, CAST(place AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM windows WHERE place <= 5
+"""
+
 # CRC-32 by its table, which SQL derives bit by bit; the words' UTF-8 bytes come from their hexadecimal form.
 OP13_SQL = r"""
 WITH crc AS (
@@ -169,11 +192,13 @@ QUERIES = {
     "op9_jaccard_join": op9_jaccard_join,
     "op10_token_files": op10_token_files,
     "op11_simhash": op11_simhash,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_resampling": op13_resampling,
 }
 ORACLES = {
     "op1_secrets": OP1_SQL,
     "op5_exact_dedup": OP5_SQL,
     "op7_topk": OP7_SQL,
+    "op12_hard_negatives": OP12_SQL,
     "op13_resampling": OP13_SQL,
 }

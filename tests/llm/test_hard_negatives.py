@@ -1,0 +1,104 @@
+"""Hard-negative mining against scoring every pair."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from packetmill.llm import hard_negatives
+from packetmill.llm.hard_negatives import ShardIndex
+
+SCHEMA = "vec_id long, embedding array<float>, label int"
+
+
+def plain(rows, k=5, low=80):
+    good = []
+    for i, v, label in rows:
+        if label is not None and v is not None and all(c is not None and math.isfinite(c) for c in v):
+            good.append((i, [math.floor(256 * float(np.float32(c))) for c in v], label))
+
+    def score(x, y):
+        return max(-2**63, min(2**63 - 1, sum(a * b for a, b in zip(x, y))))
+
+    def order(r):
+        return (-r[0], r[1] is None, r[1] or 0)
+
+    out = []
+    for n, (i, v, label) in enumerate(good):
+        if i is None or i % 100:
+            continue
+        others = [(score(v, y), j, m) for at, (j, y, m) in enumerate(good) if at != n and len(y) == len(v)]
+        for p, pos, _ in sorted((r for r in others if r[2] == label), key=order)[:k]:
+            window = sorted((r for r in others if r[2] != label and low * p <= 100 * r[0] <= 100 * p), key=order)[:k]
+            out += [(i, pos, rank + 1, neg, p, s) for rank, (s, neg, _) in enumerate(window)]
+    return sorted(out, key=str)
+
+
+def got(df):
+    return sorted((tuple(r) for r in df.select(
+        "anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score").collect()), key=str)
+
+
+def vectors(n=900, d=12, seed=1):
+    """Overlapping clusters, one label with a third of all rows, some vectors very often."""
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(4, d)) * 0.4
+    rows = [(i, (centres[i % 4] + rng.normal(size=d) * 0.3).tolist(), 0 if i % 3 == 0 else 1 + i % 5) for i in range(n)]
+    return rows + [(n + i, [0.25] * d, i % 3) for i in range(60)]
+
+
+ODD = [(1000, None, 1), (1100, [0.1] * 12, None), (1200, [1.0, None] * 6, 1), (1300, [float("nan")] * 12, 0), (1400, [float("inf")] * 12, 0),
+       (1500, [], 1), (1501, [], 1), (1502, [], 2), (1600, [0.5] * 3, 1), (1601, [0.5] * 3, 1), (1602, [0.4, 0.6, 0.5], 2), (None, [0.25] * 12, 1),
+       (None, [0.25] * 12, 4), (1700, [0.0] * 12, 1), (1800, [-0.5] * 12, 9), (200, [0.25] * 12, 2), (200, [0.25] * 12, 2), (1900, [0.2] * 12, 77)]
+
+
+@pytest.mark.parametrize("options", [{}, {"shard": 70, "block": 3}, {"shard": 200, "block": 1}])
+def test_against_all_pairs(spark, options):
+    rows = vectors() + ODD
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("id", F.lit("clash")).withColumn("score", F.lit(1)).repartition(3)
+    assert got(hard_negatives.mine(df, lambda i: i % 100 == 0, **options)) == plain(rows)
+
+
+def test_other_parameters(spark):
+    rows = vectors(400, 5, 2)
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = hard_negatives.mine(df, lambda i: i % 100 == 0, positives=3, negatives=3, low_percent=50, shard=50)
+    assert got(out) == plain(rows, 3, 50)
+
+
+def test_scores_beyond_exact_doubles(spark):
+    rows = [(100 * i if i < 3 else i, [2e14 * (1 + i % 7), 3e13, -1.0 * i], i % 2) for i in range(40)]
+    assert got(hard_negatives.mine(spark.createDataFrame(rows, SCHEMA), lambda i: i % 100 == 0, shard=10)) == plain(rows)
+
+
+def test_empty_and_tiny_tables(spark):
+    assert hard_negatives.mine(spark.createDataFrame([], SCHEMA), lambda i: i % 100 == 0).count() == 0
+    for rows in ([(0, [1.0], 1)], [(0, [1.0], 1), (1, [1.0], 1)], [(0, [1.0], 1), (1, [1.0], 1), (2, [0.9], 2)], [(1, [1.0], 1)]):
+        assert got(hard_negatives.mine(spark.createDataFrame(rows, SCHEMA), lambda i: i % 100 == 0)) == plain(rows)
+
+
+def test_threshold_join_prunes_and_loses_nothing():
+    rng = np.random.default_rng(4)
+    x = np.floor(rng.normal(size=(600, 24)) * 256 * np.linspace(2, 0.01, 24))
+    x[:5] = 0
+    q = np.vstack([x[:40], -x[40:50]])
+    scores = q @ x.T
+    for level in (0.99, 0.9, 0.5, 0.0):
+        least = np.quantile(scores, level, axis=1)
+        row, column, score = ShardIndex(x).pairs(q, least)
+        wanted = {(int(a), int(b), int(scores[a, b])) for a, b in zip(*np.nonzero(scores >= least[:, None]))}
+        assert set(zip(row.tolist(), column.tolist(), score.tolist())) == wanted and len(row) == len(wanted)
+
+
+def test_index_omits_light_dimensions():
+    """With a high threshold the light dimensions are not indexed, and scores stay exact."""
+    rng = np.random.default_rng(6)
+    x = np.floor(rng.normal(size=(200, 32)) * np.r_[np.full(8, 300.0), np.full(24, 2.0)])
+    q, index = x[:10], ShardIndex(x)
+    least = (q ** 2).sum(1) * 0.9
+    reach = (least[:, None] / np.maximum(index.norms_left(q[:, index.order]), 1e-9)).min(0)
+    assert (index.left[:, 1] < reach[1]).all()
+    row, column, score = index.pairs(q, least)
+    assert set(zip(row.tolist(), column.tolist())) == set(zip(*(a.tolist() for a in np.nonzero(q @ x.T >= least[:, None]))))
+    assert (score == (q @ x.T)[row, column]).all()
