@@ -6,16 +6,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packetmill.functions import page_ranges, text
 from packetmill.operators.joins import join_summary
+from packetmill.operators.positions import PAGES, running_totals, span_ends
+from packetmill.session import stored
 
 # Pages whose text is put into one string; a longer text continues in a further part.
 PART = 1024
-# Pages beyond which a document counts as wide: it may be searched by value instead of page by page.
+# Pages beyond which a document counts as wide: it is searched by position instead of page by page.
 WIDE = 64
+# Pages of a load that one bit mask shows.
+MASKED = 64
 
 
 def page_stats(pages: DataFrame) -> DataFrame:
@@ -26,30 +30,18 @@ def page_stats(pages: DataFrame) -> DataFrame:
     )
 
 
-def is_wide(page_range: Column) -> Column:
-    """The range names more than WIDE pages, or none, which means the whole packet."""
-    return ~F.coalesce(page_ranges.named_pages(page_range).between(1, WIDE), F.lit(False))
-
+def load_stats(pages: DataFrame) -> DataFrame:
+    """``page_stats`` and the ``mask`` of the pages up to MASKED, one stored row per load."""
+    bit = F.when(F.col("page_no").between(1, MASKED), F.expr("shiftleft(1L, page_no - 1)"))
+    return stored(pages.groupBy("load_id").agg(
+        F.count("*").alias("n_pages"), F.max("page_no").alias("last_page"),
+        F.sum("page_conf").alias("conf_sum"), F.count("page_conf").alias("conf_n"), F.bit_or(bit).alias("mask"),
+    ), "loads")
 
-def load_stats(docs: DataFrame, pages: DataFrame) -> DataFrame:
-    """``page_stats``, the number of wide documents and the missing pages per load.
 
-    Both tables are grouped once. ``missing`` holds the gaps between page numbers as spans; only the
-    numbers of loads that have gaps are looked at for it.
-    """
-    both = pages.select("load_id", "page_no", "page_conf").unionByName(
-        docs.select("load_id", is_wide(F.col("page_range")).cast("int").alias("wide")), allowMissingColumns=True
-    )
-    stats = both.groupBy("load_id").agg(
-        F.count("page_no").alias("n_pages"), F.max("page_no").alias("last_page"), F.sum("page_conf").alias("conf_sum"),
-        F.count("page_conf").alias("conf_n"), F.coalesce(F.sum("wide"), F.lit(0)).alias("n_wide"),
-    )
-    gappy = stats.filter("n_pages < last_page").select("load_id")
-    before = F.coalesce(F.lag("page_no").over(Window.partitionBy("load_id").orderBy("page_no")), F.lit(0))
-    gaps = join_summary(pages.select("load_id", "page_no"), gappy, ["load_id"], "left_semi").withColumn("before", before)
-    gaps = gaps.filter("page_no > before + 1").groupBy("load_id").agg(F.collect_list(F.struct(
-        (F.col("before") + 1).cast("bigint").alias("first"), (F.col("page_no") - 1).cast("bigint").alias("last"))).alias("missing"))
-    return stats.join(gaps, "load_id", "left")
+def _has_gaps(beyond: int = 0) -> Column:
+    """Pages are missing, in a load whose last page lies beyond the given one."""
+    return F.coalesce((F.col("n_pages") < F.col("last_page")) & (F.col("last_page") > beyond), F.lit(False))
 
 
 def page_confidence(tokens: DataFrame) -> DataFrame:
@@ -60,54 +52,91 @@ def page_confidence(tokens: DataFrame) -> DataFrame:
     )
 
 
-def with_scope(docs: DataFrame, pages: DataFrame) -> DataFrame:
+def with_scope(docs: DataFrame, pages: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """Add ``spans`` (the document's pages up to the last one), ``fallback`` and the load's totals.
 
-    A range that names no existing page falls back to the whole packet. Only where pages are absent
-    does that need a look at the page numbers themselves.
+    A range that names no existing page falls back to the whole packet. Where pages are absent, a
+    bit mask tells which of the first ones exist; documents of longer packets with gaps ask how many
+    pages lie up to each end of their spans.
     """
+    stats = load_stats(pages) if stats is None else stats
     # The range is parsed below the join, where filters on the result cannot repeat the work.
     parsed = docs.withColumn("_named", page_ranges.page_spans(F.col("page_range")))
     last = F.coalesce(F.col("last_page"), F.lit(0))
-    rows = join_summary(parsed, load_stats(docs, pages), ["load_id"]).withColumn(
-        "_own", page_ranges.clip_spans(F.col("_named"), last)
-    )
-    missing = F.coalesce("missing", F.array().cast(page_ranges.SPANS_TYPE))
+    rows = join_summary(parsed, stats, ["load_id"]).withColumn("_own", page_ranges.clip_spans(F.col("_named"), last))
 
     def has_page(s: Column) -> Column:
-        return ~F.exists(missing, lambda m: (m["first"] <= s["first"]) & (s["last"] <= m["last"]))
-
-    real = F.exists("_own", has_page)
+        ones = F.lit(-1).cast("bigint")
+        from_first = F.call_function("shiftleft", ones, (s["first"] - 1).cast("int"))
+        to_last = F.call_function("shiftrightunsigned", ones, (MASKED - s["last"]).cast("int"))
+        return from_first.bitwiseAND(to_last).bitwiseAND(F.col("mask")) != 0
+
+    real = F.when(_has_gaps(), F.exists("_own", has_page)).otherwise(F.size("_own") > 0)
+    if not stats.filter(_has_gaps(MASKED)).isEmpty():
+        asked = rows.filter(_has_gaps(MASKED)).select("load_id", "doc_seq", F.posexplode("_own").alias("span_no", "span"))
+        ranks = running_totals(span_ends(asked), _numbered(pages), ["load_id"], {"n": "bigint"}, PAGES)
+        some = ranks.groupBy("load_id", "doc_seq").agg((F.sum(F.col("sign") * F.col("n")) > 0).alias("_some"))
+        rows = rows.join(some, ["load_id", "doc_seq"], "left")
+        real = F.when(_has_gaps(MASKED), F.coalesce("_some", F.lit(False))).otherwise(real)
+        rows = rows.withColumn("_real", real).drop("_some")
+    else:
+        rows = rows.withColumn("_real", real)
     return rows.withColumns({
-        "fallback": ~real, "spans": F.when(real, F.col("_own")).otherwise(page_ranges.whole_packet(last)),
-    }).drop("_own", "_named", "missing")
+        "fallback": ~F.col("_real"), "spans": F.when(F.col("_real"), F.col("_own")).otherwise(page_ranges.whole_packet(last)),
+    }).drop("_own", "_named", "_real", "mask")
+
+
+def _numbered(pages: DataFrame) -> DataFrame:
+    """One item per page, numbered as the page, with its confidence as a decimal: sums need no order."""
+    conf = F.col("page_conf").cast("decimal(38,18)")
+    return pages.select("load_id", F.col("page_no").cast("bigint").alias("no"), F.lit(1).cast("bigint").alias("n"),
+                        conf.alias("conf_sum"), conf.isNotNull().cast("bigint").alias("conf_n"))
+
+
+CONFIDENCES = {"conf_sum": "decimal(38,18)", "conf_n": "bigint"}
 
 
 def confidence_sums(scoped: DataFrame, pages: DataFrame) -> DataFrame:
     """``load_id, doc_seq, conf_sum, conf_n`` over the pages of each document's ``spans``.
 
-    No document's pages are listed: running totals over a load's pages are read before the first
-    and at the last page of every span. The totals are taken within blocks of pages and over the
-    blocks, so a packet of any size spreads; they are decimals, so no order of adding matters.
+    No document's pages are listed: running totals are read before the first and at the last page
+    of every span.
     """
-    exact = F.col("page_conf").cast("decimal(38,18)")
-    known = pages.select("load_id", F.col("page_no").cast("bigint").alias("at"),
-                         F.struct(F.coalesce(exact, F.lit(0)).cast("decimal(38,18)").alias("s"), exact.isNotNull().cast("int").alias("n")).alias("v"))
-    ends = F.array(F.struct((F.col("span.first") - 1).alias("at"), F.lit(-1).alias("sign")), F.struct(F.col("span.last").alias("at"), F.lit(1).alias("sign")))
-    asked = scoped.select("load_id", "doc_seq", F.explode("spans").alias("span")).select("load_id", "doc_seq", F.inline(ends))
-    events = known.unionByName(asked, allowMissingColumns=True).withColumn("block", F.floor(F.col("at") / page_ranges.RUN))
-    inside = Window.partitionBy("load_id", "block").orderBy("at").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    earlier = Window.partitionBy("load_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = events.groupBy("load_id", "block").agg(F.sum("v.s").alias("s"), F.sum("v.n").alias("n")).select(
-        "load_id", "block", F.sum("s").over(earlier).alias("s0"), F.sum("n").over(earlier).alias("n0"))
-    rows = events.withColumns({"s": F.sum("v.s").over(inside), "n": F.sum("v.n").over(inside)}).filter("sign IS NOT NULL")
-    rows = rows.join(blocks, ["load_id", "block"])
-
-    def total(here: str, before: str) -> Column:
-        return F.sum(F.col("sign") * (F.coalesce(here, F.lit(0)) + F.coalesce(before, F.lit(0))))
+    asked = scoped.select("load_id", "doc_seq", F.posexplode("spans").alias("span_no", "span"))
+    rows = running_totals(span_ends(asked), _numbered(pages), ["load_id"], CONFIDENCES, PAGES)
+
+    def total(v: str) -> Column:
+        return F.sum((F.col("sign") * F.col(v)).cast(CONFIDENCES[v]))
 
     return rows.groupBy("load_id", "doc_seq").agg(
-        total("s", "s0").cast("double").alias("conf_sum"), total("n", "n0").cast("bigint").alias("conf_n"))
+        total("conf_sum").cast("double").alias("conf_sum"), total("conf_n").alias("conf_n"))
+
+
+def list_pages(scoped: DataFrame, pages: DataFrame, stats: DataFrame) -> DataFrame:
+    """``scoped`` once per existing page of its ``spans``, with ``span_no``, ``run`` and ``page_no``.
+
+    The pages of a packet without gaps are the numbers of its spans; up to MASKED, numbers of missing
+    pages are listed too and find no partner in a join. In longer packets with gaps the places of the
+    existing pages are listed, so that the work follows what there is.
+    """
+    if stats.filter(_has_gaps(MASKED)).isEmpty():
+        return page_ranges.list_pages(scoped)
+    gappy = stats.filter(_has_gaps(MASKED)).select("load_id")
+    plain = page_ranges.list_pages(join_summary(scoped, gappy, ["load_id"], "left_anti"))
+    rest = [c for c in scoped.columns if c != "spans"]
+    spans = join_summary(scoped, gappy, ["load_id"], "left_semi").select(*rest, F.posexplode("spans").alias("span_no", "span"))
+    own = join_summary(pages.select("load_id", "page_no", "page_conf"), gappy, ["load_id"], "left_semi")
+    asked = running_totals(span_ends(spans), _numbered(own), ["load_id"], {"n": "bigint"}, PAGES)
+    places = asked.groupBy("load_id", "doc_seq", "span_no").agg(F.struct(
+        (F.max(F.when(F.col("sign") < 0, F.col("n"))) + 1).alias("first"), F.max(F.when(F.col("sign") > 0, F.col("n"))).alias("last")).alias("place"))
+    placed = spans.drop("span").join(places, ["load_id", "doc_seq", "span_no"]).filter("place.first <= place.last")
+    listed = page_ranges.list_pages(placed.withColumn("places", F.array("place")).drop("place").withColumnRenamed("span_no", "_span"), "places")
+    number = F.col("page_no").cast("bigint")
+    ranked = running_totals(own.select("load_id", "page_no", number.alias("at")), _numbered(own), ["load_id"], {"n": "bigint"}, PAGES)
+    ranked = ranked.select("load_id", F.col("page_no").cast("bigint").alias("_no"), F.col("n").alias("page_no"))
+    found = listed.drop("span_no").join(ranked, ["load_id", "page_no"]).select(
+        *rest, F.col("_span").alias("span_no"), "run", F.col("_no").alias("page_no"))
+    return plain.unionByName(found)
 
 
 def docs_to_pages(docs: DataFrame, pages: DataFrame) -> DataFrame:
@@ -115,15 +144,27 @@ def docs_to_pages(docs: DataFrame, pages: DataFrame) -> DataFrame:
 
     The join key holds the page number, so a packet of any size spreads over all tasks.
     """
-    scoped = with_scope(docs.select("load_id", "doc_seq", "page_range"), pages).filter(~F.col("fallback"))
-    listed = page_ranges.list_pages(scoped.select("load_id", "doc_seq", "spans"))
+    stats = load_stats(pages)
+    scoped = with_scope(docs.select("load_id", "doc_seq", "page_range"), pages, stats).filter(~F.col("fallback"))
+    listed = list_pages(scoped.select("load_id", "doc_seq", "spans"), pages, stats)
     return listed.join(pages, ["load_id", "page_no"])
 
 
 def doc_confidence(docs: DataFrame, pages: DataFrame) -> DataFrame:
-    """Mean page confidence over the document's pages, the packet's mean without any, 3 decimals."""
-    scoped = with_scope(docs.select("load_id", "doc_seq", "page_range"), pages).select("load_id", "doc_seq", "spans")
-    sums = confidence_sums(scoped, pages)
+    """Mean page confidence over the document's pages, the packet's mean without any, 3 decimals.
+
+    Up to WIDE pages of a document are listed; wider ones are answered from running totals.
+    """
+    stats = load_stats(pages)
+    scoped = with_scope(docs.select("load_id", "doc_seq", "page_range"), pages, stats).select("load_id", "doc_seq", "spans")
+    few = page_ranges.span_pages(F.col("spans")) <= WIDE
+    wide = not stats.filter(F.col("last_page") > WIDE).isEmpty()
+    listed = page_ranges.list_pages(scoped.filter(few) if wide else scoped).select("load_id", "doc_seq", "page_no")
+    exact = F.col("page_conf").cast("decimal(38,18)")
+    sums = listed.join(pages.select("load_id", "page_no", exact.alias("conf")), ["load_id", "page_no"]).groupBy("load_id", "doc_seq").agg(
+        F.sum("conf").cast("double").alias("conf_sum"), F.count("conf").alias("conf_n"))
+    if wide:
+        sums = sums.unionByName(confidence_sums(scoped.filter(~few), pages))
     conf = F.round(F.col("conf_sum") / F.nullif(F.col("conf_n"), F.lit(0)), 3)
     return docs.select("load_id", "doc_seq").join(sums, ["load_id", "doc_seq"], "left").select(
         "load_id", "doc_seq", conf.alias("ocr_confidence"))
@@ -140,7 +181,8 @@ def page_text_for(docs: DataFrame, pages: DataFrame, separator: str = " ") -> Da
     One row per document and part; a part covers up to PART page places of a span, and the parts
     in order, joined by the separator, are the whole text.
     """
-    scoped = with_scope(docs.select("load_id", "doc_seq", "page_range"), pages).select("load_id", "doc_seq", "spans")
+    stats = load_stats(pages)
+    scoped = with_scope(docs.select("load_id", "doc_seq", "page_range"), pages, stats).select("load_id", "doc_seq", "spans")
     # Place of each span's first page in the document's own sequence of pages.
     before = F.transform(
         F.col("spans"),
@@ -151,7 +193,7 @@ def page_text_for(docs: DataFrame, pages: DataFrame, separator: str = " ") -> Da
         ),
     )
     based = scoped.withColumn("bases", F.transform(before, lambda s: s["base"] - s["first"]))
-    listed = page_ranges.list_pages(based).withColumn(
+    listed = list_pages(based, pages, stats).withColumn(
         "place", F.col("page_no") + F.get("bases", F.col("span_no"))
     )
     part = F.floor(F.col("place") / PART).cast("bigint")

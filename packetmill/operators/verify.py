@@ -5,25 +5,31 @@ may run over a page break. That text is never built: every page is searched wher
 only its edges, one character shorter than the longest value sought, travel on to be put end to
 end and searched for values that cross a break. Blanks cannot occur in normalised text, so one
 blank stands for what was left out between two edges.
+
+Documents of very many pages are not searched page by page. Their load's text is laid out by
+characters once, all sought values are looked up in it by the fingerprints of their windows, and
+each of a document's spans asks how often a value starts between two characters. Only the ends of
+neighbouring spans, as long as the longest value, are put together for values that cross a seam.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from packetmill import schemas
 from packetmill.functions import page_ranges, text
+from packetmill.functions.fingerprints import LONGEST, value_prints
 from packetmill.operators.joins import join_summary
-from packetmill.operators.pages import WIDE, confidence_sums, with_scope
+from packetmill.operators.pages import CONFIDENCES, WIDE, load_stats, with_scope
+from packetmill.operators.positions import PAGES, TEXT, occurrences, running_totals, span_ends, text_between, text_blocks
+from packetmill.session import stored
 
 # Evidence longer than this is not trusted, and values shorter than this are not checked.
 MAX_EVIDENCE = 64
 MIN_LENGTH = 3
-# Wide documents times pages up to which a load's wide documents are searched page by page.
-HEAVY = 1_000_000
-# The longest value that is looked up among the strings of the pages; longer ones go page by page.
-LONGEST = 256
+# Pages of one document up to which it is searched page by page.
+HEAVY = WIDE
 # Documents below this confidence go to review.
 REVIEW_CONFIDENCE = 0.80
 
@@ -119,55 +125,59 @@ def _own_pages(scoped: DataFrame, norm_pages: DataFrame) -> DataFrame:
     return page_ranges.list_pages(wanted).join(norm_pages, ["load_id", "page_no"])
 
 
-def _page_strings(pages: DataFrame) -> DataFrame:
-    """``load_id, value, first, last``: strings of the sought sizes and the pages they run over.
-
-    ``pages`` are non-blank and carry the load's ``sizes`` and ``edge``. A string inside a page comes
-    from its text. A string over page breaks starts in the end of one page and goes on into the
-    beginnings of the following ones; only these edges pass through a window over a load's pages.
-    """
-    sized = pages.select("load_id", "page_no", "body", F.explode("sizes").alias("size")).filter(F.length("body") >= F.col("size"))
-    starts = F.explode(F.sequence(F.lit(1), F.length("body") - F.col("size") + 1))
-    inside = sized.select("load_id", "page_no", "body", "size", starts.alias("at")).select(
-        "load_id", F.substr("body", F.col("at"), F.col("size")).alias("value"), F.col("page_no").alias("first"), F.col("page_no").alias("last"))
-
-    edge = F.col("edge")
-    edges = pages.select("load_id", "page_no", "sizes", "edge", F.left("body", edge).alias("head"), F.right("body", edge).alias("tail"))
-    # Every page has a character, so LONGEST of them always reach far enough.
-    following = Window.partitionBy("load_id").orderBy("page_no").rowsBetween(1, LONGEST)
-    parts = F.collect_list(F.struct("page_no", "head")).over(following)
-    rows = edges.select("load_id", "sizes", "edge", F.col("page_no").alias("first"), "tail", parts.alias("parts")).select(
-        "load_id", "sizes", "first", "tail",
-        F.left(F.array_join(F.transform("parts", lambda x: x["head"]), ""), edge).alias("after"),
-        # Character by character, the page that each one lies on.
-        F.flatten(F.transform("parts", lambda x: F.array_repeat(x["page_no"], F.length(x["head"])))).alias("numbers"))
-    rows = rows.filter("after <> ''").select("*", F.explode("sizes").alias("size")).filter("size > 1")
-    # k characters from the end of the page, the others from what follows.
-    least, most = F.greatest(F.col("size") - F.length("after"), F.lit(1)), F.least(F.length("tail"), F.col("size") - 1)
-    crossing = rows.filter(least <= most).withColumn("k", F.explode(F.sequence(least, most))).select(
-        "load_id", F.concat(F.right("tail", F.col("k")), F.left("after", F.col("size") - F.col("k"))).alias("value"),
-        "first", F.get("numbers", F.col("size") - F.col("k") - 1).alias("last"))
-    return inside.unionByName(crossing)
-
-
-def _search_by_value(by_value: DataFrame, norm_pages: DataFrame) -> DataFrame:
-    """``load_id, doc_seq, found`` of documents of one long span, without listing their pages.
-
-    Every load's strings of the sought sizes are taken from its pages once. The sought values stand
-    among them, in page order: a value is found if, of its occurrences that start at or after the
-    span's first page, one ends by its last.
-    """
-    spans = by_value.select("load_id", "doc_seq", "sought", F.get("spans", F.lit(0)).alias("span"))
-    values = spans.select("load_id", "doc_seq", F.col("span.first").alias("first"), F.col("span.last").alias("until"),
-                          F.posexplode("sought").alias("i", "value")).filter("value IS NOT NULL")
-    lengths = spans.select("load_id", F.explode(F.transform("sought", lambda v: F.length(v))).alias("size")).filter("size IS NOT NULL")
-    per_load = lengths.groupBy("load_id").agg(F.max("size").alias("edge"), F.collect_set("size").alias("sizes"))
-    strings = _page_strings(join_summary(norm_pages.filter("body <> ''"), per_load, ["load_id"], "inner"))
-    events = strings.select("load_id", "value", F.col("first").cast("bigint").alias("first"), "last").unionByName(values, allowMissingColumns=True)
-    later = Window.partitionBy("load_id", "value").orderBy(F.desc("first")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    hit = F.coalesce(F.min("last").over(later) <= F.col("until"), F.lit(False))
-    answers = events.withColumn("hit", hit).filter("doc_seq IS NOT NULL")
-    return answers.groupBy("load_id", "doc_seq").agg(F.expr("bit_or(if(hit, shiftleft(1, i), 0))").alias("found"))
+def _value_hits(wide: DataFrame, spans: DataFrame, blocks: DataFrame) -> DataFrame:
+    """``load_id, doc_seq, found``: the values that stand within one of the document's spans."""
+    values = wide.select("load_id", "doc_seq", F.posexplode("sought").alias("i", "value")).filter("value <> ''")
+    values = values.withColumn("prints", value_prints("value"))
+    key = F.when(F.size("prints") == 1, F.get("prints", F.lit(0))).otherwise(F.xxhash64("value"))
+    values = stored(values.withColumn("key", key), "values")
+    starts = occurrences(values.select("load_id", "value", "prints", "key"), blocks)
+    items = starts.select("load_id", F.col("key").cast("string").alias("key"), "no", F.lit(1).cast("bigint").alias("n"))
+    sought = values.select("load_id", "doc_seq", "i", F.col("key").cast("string").alias("key"), F.length("value").alias("size"))
+    each = sought.join(spans.select("load_id", "doc_seq", "c0", "c1"), ["load_id", "doc_seq"]).filter("c1 - c0 >= size")
+    ends = F.array(F.struct((F.col("c0") - 1).alias("at"), F.lit(-1).alias("sign")), F.struct((F.col("c1") - F.col("size")).alias("at"), F.lit(1).alias("sign")))
+    counted = running_totals(each.select("load_id", "doc_seq", "i", "key", F.inline(ends)), items, ["load_id", "key"], {"n": "bigint"}, TEXT)
+    hits = counted.groupBy("load_id", "doc_seq", "i").agg((F.sum(F.col("sign") * F.col("n")) > 0).alias("hit"))
+    return hits.groupBy("load_id", "doc_seq").agg(F.expr("bit_or(if(hit, shiftleft(1, i), 0))").alias("found"))
+
+
+def _seam_hits(wide: DataFrame, spans: DataFrame, blocks: DataFrame, n_fields: int) -> DataFrame:
+    """``load_id, doc_seq, seams``: the values in the ends of the document's spans, put together."""
+    several = wide.filter((F.size("spans") > 1) & (F.col("edge") > 0)).select("load_id", "doc_seq", "edge", "sought")
+    rows = spans.join(several.drop("sought"), ["load_id", "doc_seq"])
+    both = F.array(
+        F.struct(F.lit(0).alias("part"), F.col("c0").alias("x"), (F.col("c0") + F.col("edge")).alias("y")),
+        F.struct(F.lit(1).alias("part"), (F.col("c1") - F.col("edge")).alias("x"), F.col("c1").alias("y")))
+    whole = F.array(F.struct(F.lit(0).alias("part"), F.col("c0").alias("x"), F.col("c1").alias("y")))
+    ranges = F.when(F.col("c1") - F.col("c0") <= 2 * F.col("edge") + 1, whole).otherwise(both)
+    pieces = text_between(rows.select("load_id", "doc_seq", "span_no", F.inline(ranges)), blocks)
+    # A blank stands for what lies between the two ends of one span.
+    left_out = (F.col("part") == 1) & (F.col("block") == F.expr(f"x div {TEXT}"))
+    pieces = pieces.withColumn("piece", F.when(left_out, F.concat(F.lit(" "), "piece")).otherwise(F.col("piece")))
+    ordered = F.array_sort(F.collect_list(F.struct("span_no", "part", "block", "piece")))
+    bodies = pieces.groupBy("load_id", "doc_seq").agg(F.array_join(ordered["piece"], "").alias("body"))
+    return bodies.join(several, ["load_id", "doc_seq"]).select("load_id", "doc_seq", _found_in(n_fields).alias("seams"))
+
+
+def _search_by_position(wide: DataFrame, norm_pages: DataFrame, n_fields: int) -> DataFrame:
+    """``load_id, doc_seq, found, conf`` of documents of any number of spans, without listing their pages."""
+    wide = stored(wide.select("load_id", "doc_seq", "spans", "sought", "edge"), "wide")
+    texts = join_summary(norm_pages, wide.select("load_id").distinct(), ["load_id"], "left_semi")
+    conf = F.col("page_conf").cast("decimal(38,18)")
+    items = stored(texts.select(
+        "load_id", F.col("page_no").cast("bigint").alias("no"), F.coalesce(F.length("body"), F.lit(0)).cast("bigint").alias("chars"),
+        conf.alias("conf_sum"), conf.isNotNull().cast("bigint").alias("conf_n")), "page-sizes")
+    ends = span_ends(wide.select("load_id", "doc_seq", F.posexplode("spans").alias("span_no", "span")))
+    totals = running_totals(ends, items, ["load_id"], {"chars": "bigint", **CONFIDENCES}, PAGES)
+    spans = stored(totals.groupBy("load_id", "doc_seq", "span_no").agg(
+        F.max(F.when(F.col("sign") < 0, F.col("chars"))).alias("c0"), F.max(F.when(F.col("sign") > 0, F.col("chars"))).alias("c1"),
+        *[F.sum((F.col("sign") * F.col(v)).cast(kind)).alias(v) for v, kind in CONFIDENCES.items()]), "spans")
+    blocks = stored(text_blocks(texts), "text")
+    scored = spans.groupBy("load_id", "doc_seq").agg(F.sum("conf_sum").cast("double").alias("conf_sum"), F.sum("conf_n").alias("conf_n"))
+    found = F.coalesce("found", F.lit(0)).bitwiseOR(F.coalesce("seams", F.lit(0)))
+    return scored.join(_value_hits(wide, spans, blocks), ["load_id", "doc_seq"], "left").join(
+        _seam_hits(wide, spans, blocks, n_fields), ["load_id", "doc_seq"], "left").select(
+        "load_id", "doc_seq", found.alias("found"), _mean("conf_sum", "conf_n").alias("conf"))
 
 
 def check_documents(docs: DataFrame, pages: DataFrame, heavy: int = HEAVY) -> DataFrame:
@@ -177,10 +187,10 @@ def check_documents(docs: DataFrame, pages: DataFrame, heavy: int = HEAVY) -> Da
     page, and everything after that is a few bytes per page. Pages are put together in stretches of
     bounded length first, so that a document of any size stays spread.
 
-    That would explode where very many documents of a load each cover very many pages. In a load
-    whose wide documents times pages exceed ``heavy``, those with one span are searched by value:
-    the work then grows with the text and with the documents, not with their product. The choice is
-    made per document from columns of the plan itself; both ways give the same result.
+    That would explode where very many documents each cover very many pages. Documents of more than
+    ``heavy`` pages are searched by position: the work then grows with the text and with the
+    documents, not with their product. Both ways give the same result; whether any load has that
+    many pages is looked up first.
     """
     fields = key_fields(docs)
     inputs = [*fields, *(e for e in schemas.EVIDENCE_FIELDS.values() if e in docs.columns)]
@@ -189,17 +199,16 @@ def check_documents(docs: DataFrame, pages: DataFrame, heavy: int = HEAVY) -> Da
     keyed = docs.select("load_id", "doc_seq", "page_range", *inputs).select(
         "load_id", "doc_seq", "page_range", sought.alias("sought")
     )
-    wide = (F.size("spans") == 1) & (page_ranges.span_pages(F.col("spans")) > WIDE) & (longest <= LONGEST)
-    scoped = with_scope(keyed, pages).select(
-        "load_id", "doc_seq", "spans", "sought", F.greatest(longest - 1, F.lit(0)).alias("edge"),
-        F.coalesce(wide & (F.col("n_wide") * F.col("last_page") > heavy), F.lit(False)).alias("by_value"),
-    )
+    stats = load_stats(pages)
+    scoped = with_scope(keyed, pages, stats).select(
+        "load_id", "doc_seq", "spans", "sought", F.greatest(longest - 1, F.lit(0)).alias("edge"))
     norm_pages = pages.select("load_id", "page_no", text.norm(F.col("page_text")).alias("body"), "page_conf")
-    paged = _search_pages(_own_pages(scoped.filter("NOT by_value"), norm_pages), len(fields))
-    by_value = scoped.filter("by_value")
-    scored = confidence_sums(by_value, norm_pages).select("load_id", "doc_seq", _mean("conf_sum", "conf_n").alias("conf"))
-    valued = scored.join(_search_by_value(by_value, norm_pages), ["load_id", "doc_seq"], "left")
-    results = paged.unionByName(valued)
+    if stats.filter(F.col("last_page") > heavy).isEmpty():
+        results = _search_pages(_own_pages(scoped, norm_pages), len(fields))
+    else:
+        many = page_ranges.span_pages(F.col("spans")) > heavy
+        paged = _search_pages(_own_pages(scoped.filter(~many), norm_pages), len(fields))
+        results = paged.unionByName(_search_by_position(scoped.filter(many), norm_pages, len(fields)))
     return docs.withColumn("sought", sought).join(results, ["load_id", "doc_seq"], "left").select(
         *docs.columns, F.round("conf", 3).alias("ocr_confidence"), _unverified(docs).alias("unverified_fields")
     )
