@@ -89,7 +89,11 @@ DOCUMENT = T.StructType(
     + [T.StructField("ocr_confidence", T.DoubleType()), T.StructField("unverified_fields", T.StringType())]
     # The document's number in its load; without it documents count by place.
     + [T.StructField("doc_seq", T.IntegerType())]
+    # Of a document that runs over several records: its whole number of children, in the first of
+    # its pieces, and the mark of the others, which hold further children only.
+    + [T.StructField("n_stops", T.IntegerType()), T.StructField("n_accessorials", T.IntegerType()), T.StructField("continued", T.BooleanType())]
 )
+PIECE_FIELDS = ["n_stops", "n_accessorials", "continued"]
 PACKET = T.StructType([
     T.StructField("load_id", T.StringType()),
     T.StructField("source_pdf", T.StringType()),
