@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-# Folders by the hash of the load id in the table of first-seen loads.
-PARTS = 64
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
 def ingest_incremental(source: DataFrame, dst: str, checkpoint: str) -> None:
@@ -26,50 +28,85 @@ def ingest_incremental(source: DataFrame, dst: str, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def _has_batches(spark: SparkSession, dst: str) -> bool:
-    """Whether the table's folder holds any batch; a folder that cannot be listed is an error."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{dst}/batch=*")
-    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
-    return found is not None and len(found) > 0
+def _first_of(order: list[str]):
+    """Of each load's rows of a batch the first by ``order``; nulls come before all values."""
+
+    def pick(rows: pd.DataFrame) -> pd.DataFrame:
+        return rows.sort_values(order, kind="stable", na_position="first").drop_duplicates("load_id")
 
+    return pick
 
-def _stored(spark: SparkSession, dst: str, before: int, parts: list[int]) -> DataFrame | None:
-    """Ids written by earlier batches in the given parts of the table."""
-    if not _has_batches(spark, dst):
-        return None
-    rows = spark.read.option("basePath", dst).parquet(f"{dst}/batch=*")
-    return rows.filter((F.col("batch") < before) & F.col("part").isin(parts)).select("load_id")
 
+@contextmanager
+def _state_on_disk(spark: SparkSession) -> Iterator[None]:
+    """While a query starts: its state lies in RocksDB, and a checkpoint holds what changed.
 
-def ingest_first_seen(source: DataFrame, dst: str, checkpoint: str, order: str = "path") -> None:
+    Batches without data would let a query with a timeout go on for ever.
+    """
+    prefix = "spark.sql.streaming.stateStore."
+    wanted = {
+        f"{prefix}providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        f"{prefix}rocksdb.changelogCheckpointing.enabled": "true",
+        "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def ingest_first_seen(source: DataFrame, dst: str, checkpoint: str, order: str = "path",
+                      forget_ms: int | None = None) -> StreamingQuery:
     """One row per load across all batches, the first by ``order`` within the batch that brings it.
 
-    The table itself is the memory: a batch drops loads that earlier batches stored, so no state
-    grows in the executors. Ids lie in PARTS folders by their hash, and a batch reads only the
-    folders that its own ids fall into. Each batch owns a folder that a retry replaces, which makes
-    a repeated batch harmless.
+    Which loads were seen is keyed state: a batch looks up its own loads, one by one, in a store on
+    the executors' disks, and its checkpoint holds what changed. Nothing that earlier batches wrote
+    is read again, so a batch costs what it brings. Before the exchange every Arrow batch of a task
+    shrinks to one row per load, so a load with very many files stays small. ``forget_ms`` lets loads
+    go that were last seen that long ago; one that comes later counts as new. Each batch owns a
+    folder that a retry replaces, which makes a repeated batch harmless.
+
+    Returns the finished query.
     """
-    columns = [c for c in source.columns if c not in ("load_id", order)]
-    part = F.pmod(F.xxhash64("load_id"), F.lit(PARTS)).cast("int")
+    spark, schema = source.sparkSession, source.schema
+    pick = _first_of([order, *[c for c in source.columns if c not in ("load_id", order)]])
+
+    def shrink(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pick(batch)
+
+    def unseen(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        seen, best = state.exists, None
+        for batch in batches:
+            if not seen:
+                best = pick(batch if best is None else pd.concat([best, batch]))
+        state.update((True,))
+        if forget_ms is not None:
+            state.setTimeoutDuration(forget_ms)
+        if best is not None:
+            yield best
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        first = batch.groupBy("load_id").agg(F.min(F.struct(order, *columns)).alias("r")).select("load_id", "r.*")
-        first = first.withColumn("part", part)
-        parts = [r["part"] for r in batch.select(part.alias("part")).distinct().collect()]  # PARTS at most
-        stored = _stored(spark, dst, batch_id, parts)
-        fresh = first if stored is None else first.join(stored, "load_id", "left_anti")
-        fresh.write.mode("overwrite").partitionBy("part").parquet(f"{dst}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{dst}/batch={batch_id}")
 
-    query = (
-        source.writeStream.foreachBatch(store)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    timeout = GroupStateTimeout.NoTimeout if forget_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+    fresh = source.mapInPandas(shrink, schema).groupBy("load_id").applyInPandasWithState(unseen, schema, "seen boolean", "append", timeout)
+    with _state_on_disk(spark):
+        query = (
+            fresh.writeStream.outputMode("append").foreachBatch(store)
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    return query
 
 
 def first_seen(spark: SparkSession, dst: str) -> DataFrame:
-    return spark.read.option("basePath", dst).parquet(f"{dst}/batch=*").drop("batch", "part")
+    return spark.read.option("basePath", dst).parquet(f"{dst}/batch=*").drop("batch")

@@ -50,3 +50,38 @@ def test_throughput_equals_the_batch_result_over_several_batches(spark, tmp_path
     throughput.run_throughput(stream(spark, src, schema), dst, str(tmp_path / "cp"), "1 minute", "1 day")
     want = throughput.throughput(base, "1 minute")
     assert sorted(map(tuple, throughput.latest_windows(spark, dst).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_cost_of_a_batch_does_not_grow(spark, tmp_path):
+    """Fifty batches: each looks up the loads that it brings, and reads nothing that others wrote."""
+    src, dst, checkpoint = tmp_path / "src", str(tmp_path / "dst"), str(tmp_path / "cp")
+    for i in range(50):
+        put(spark, src, [(str(j), f"{i:02d}-{j}") for j in range(i * 10, i * 10 + 20)] + [("hot", f"{i:02d}-{k}") for k in range(30)])
+    query = ingest.ingest_first_seen(stream(spark, src), dst, checkpoint)
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    assert len(progress) == 50
+    for p in progress:
+        state = p["stateOperators"][0]
+        assert p["numInputRows"] == 50 and state["numRowsUpdated"] <= 21
+        assert state["customMetrics"]["rocksdbGetCount"] <= 21 * 4  # lookups: those of this batch
+    seconds = [p["durationMs"]["addBatch"] for p in progress]
+    assert sorted(seconds[-15:])[7] < 3 * sorted(seconds[5:20])[7]
+    rows = ingest.first_seen(spark, dst).collect()
+    assert len(rows) == len({r.load_id for r in rows}) == 511
+    order = [int(r.path[:2]) for r in sorted((r for r in rows if r.load_id != "hot"), key=lambda r: int(r.load_id))]
+    assert max(order) == 49
+    # Files are taken in the order of their times, so a load's first batch is one of the two that bring it.
+    assert all(int(r.load_id) // 10 - 1 <= int(r.path[:2]) <= int(r.load_id) // 10 for r in rows if r.load_id != "hot")
+
+
+def test_loads_not_seen_for_long_are_forgotten(spark, tmp_path):
+    src, dst, checkpoint = tmp_path / "src", str(tmp_path / "dst"), str(tmp_path / "cp")
+    put(spark, src, [("1", "a"), ("2", None)])
+    ingest.ingest_first_seen(stream(spark, src), dst, checkpoint, forget_ms=1)
+    for i in range(2):  # what has timed out leaves with one batch and may come back with the next
+        put(spark, src, [("3", f"x{i}")])
+        ingest.ingest_first_seen(stream(spark, src), dst, checkpoint, forget_ms=1)
+    put(spark, src, [("1", "b")])
+    ingest.ingest_first_seen(stream(spark, src), dst, checkpoint, forget_ms=1)
+    assert sorted(r.path for r in ingest.first_seen(spark, dst).filter("load_id = '1'").collect()) == ["a", "b"]
+    assert "RocksDB" not in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
