@@ -41,14 +41,15 @@ def _score(packets: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def process(files: DataFrame, pages: DataFrame, cache: DataFrame | None, done: DataFrame,
-            extract: Callable[[dict], dict | str], scratch: str) -> Run:
+            extract: Callable[[dict], dict | str], scratch: str, ledger: extractor.Ledger | None = None) -> Run:
     """Process every load that has one file and no record yet.
 
     ``files``: the scanned manifest; ``pages``: OCR pages as the service returns them, used where
     ``cache`` lacks a load; ``done``: load ids with a record. A file that fails triage is invalid; a
     load without page text, whose extraction raises or whose packet breaks a rule, is failed; one
     load never affects another. The extractor's answers are stored under ``scratch`` before anything
-    reads them, so it is called once per load however many tables are used.
+    reads them, so it is called once per load however many tables are used. With a ``ledger`` a run
+    that follows one that was stopped goes on where that one was.
     """
     spark = files.sparkSession
     work = manifest.worklist(files, done).select("load_id", "path")
@@ -61,7 +62,7 @@ def process(files: DataFrame, pages: DataFrame, cache: DataFrame | None, done: D
     new_pages = page_ops.cached_pages(missing, pages)
     all_pages = known.unionByName(new_pages)
 
-    answers = extractor.apply_extractor(page_ops.marked_text(all_pages), extract)
+    answers = extractor.apply_extractor(page_ops.marked_text(all_pages), extract, ledger)
     answers.write.mode("overwrite").parquet(f"{scratch}/answers")
     answers = spark.read.parquet(f"{scratch}/answers")
     per_load = loads.join(extractor.load_results(answers), "load_id", "left")

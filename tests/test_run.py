@@ -1,5 +1,10 @@
 """Selection, reports, extraction hook and gold rules."""
 
+import os
+import time
+import uuid
+
+import pytest
 from pyspark.sql import functions as F
 
 from packetmill import schemas
@@ -139,6 +144,56 @@ def test_a_load_of_several_parts_is_one_load(spark):
     assert sorted(map(tuple, docs)) == [(x, i + 1, str(700 * (i + 1))) for x in "13" for i in range(3)]
 
 
+def test_a_ledger_repeats_one_wave_at_most(spark, tmp_path):
+    """A worker that dies in mid-run: what earlier waves paid for is not called again."""
+    calls, died = tmp_path / "calls", tmp_path / "died"
+    calls.mkdir()
+
+    def extract(row):
+        (calls / f"{row['load_id']}-{uuid.uuid4().hex}").write_text(row["text"])
+        if row["load_id"] == "37" and not died.exists():
+            died.write_text("")
+            time.sleep(1)
+            os._exit(1)
+        if row["load_id"] in ("5", "50"):
+            raise ValueError("busy")
+        return {**GOOD, "packet_summary": row["text"]}
+
+    def called():
+        return [f.name.split("-")[0] for f in calls.iterdir()]
+
+    loads = spark.range(60).selectExpr("cast(id AS string) load_id", "concat('t', id) text")
+    ledger = extractor.Ledger(str(tmp_path / "ledger"), wave_rows=15)
+    with pytest.raises(Exception, match="(?i)worker|stage failure"):
+        extractor.apply_extractor(loads, extract, ledger).collect()
+    before = set(called())
+    kept = {r.load_id for r in ledger.rows(spark).collect()} if ledger.rows(spark) else set()
+    got = {r.load_id: (r.status, r.detail, r.packet) for r in extractor.apply_extractor(loads, extract, ledger).collect()}
+    assert {k for k, v in got.items() if v[:2] != ("ok", None)} == {"5", "50"} and len(got) == 60
+    assert all(v[2].packet_summary == f"t{k}" for k, v in got.items() if v[2]) and got["5"][1] == "ValueError: busy"
+    again = [x for x in called() if called().count(x) > 1]
+    assert set(again) - {"5", "50"} <= before - kept and len(set(again) - {"5", "50"}) <= 30
+    # A later run calls the failed ones only, and another version starts anew.
+    n = len(called())
+    assert extractor.apply_extractor(loads, extract, ledger).filter("status = 'ok'").count() == 58
+    assert len(called()) == n + 2
+    other = extractor.Ledger(str(tmp_path / "ledger"), "v2")
+    assert extractor.apply_extractor(loads.limit(3), extract, other).count() == 3
+    assert len(called()) == n + 5
+    assert extractor.apply_extractor(loads.limit(0), extract, extractor.Ledger(str(tmp_path / "none"))).count() == 0
+
+
+def test_a_ledger_keeps_parts_apart(spark, tmp_path):
+    rows = spark.createDataFrame([("1", 0, "a"), ("1", 1, "b"), ("2", 0, "c")], "load_id string, part_no int, text string")
+    ledger = extractor.Ledger(str(tmp_path / "ledger"), wave_rows=1)
+    packet = {"packet_summary": "s", "documents": [dict(GOOD["documents"][0])]}
+    for _ in range(2):
+        results = extractor.apply_extractor(rows, lambda row: packet, ledger)
+        docs = nested.attach_parent(extractor.packets_of(results)).select("load_id", "doc_seq").collect()
+        assert sorted(map(tuple, docs)) == [("1", 1), ("1", 2), ("2", 1)]
+    assert ledger.rows(spark).count() == 3
+
+
 def test_a_run_of_faulty_loads(spark, tmp_path):
     """Cells that cannot be counted and a second run: neither ends the job nor adds anything."""
     files = manifest.scan_manifest(spark.createDataFrame(
