@@ -3,8 +3,9 @@
 The pieces of all texts are counted, the frequent ones (at most ``LEXICON`` of them) are encoded
 once and compiled into a minimal acyclic automaton: words share their endings as well as their
 beginnings, and every arc carries how many words come before it, so that a walk adds up to the
-word's number, which points at its ids. The automaton is one block of bytes of bounded size; it is
-broadcast, and every worker maps it into memory from a file. Texts are encoded column by column:
+word's number, which points at its ids. Words are at most ``WORD_BYTES`` long, so the automaton has
+at most LEXICON * WORD_BYTES arcs of 24 bytes (184 MB; 5 MB for plain text). It is one block of bytes;
+it is broadcast, and every worker maps it into memory from a file. Texts are encoded column by column:
 distinct pieces walk the automaton side by side, and pieces it does not hold are merged exactly by
 the ranks of the tokenizer file.
 
@@ -17,11 +18,13 @@ special tokens become their ids, as the tokenizers library does; one piece may b
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import mmap
 import os
 import tempfile
+from collections import Counter
 from collections.abc import Iterator
 from functools import cache
 
@@ -30,11 +33,14 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from packetmill.llm.common import stored
 from packetmill.llm.pieces import SPECIAL_MARK, PieceIds, byte_letters, encode_column, slices, splitter_of, take_ragged
 
 LEXICON = 120_000
+WORD_BYTES = 64      # of a lexicon word; longer pieces are merged
+COUNTED = 200_000    # distinct pieces that a task adds up before it passes them on
 SHORT = 40  # symbols up to which scanning for the best merge beats a heap
 
 
@@ -201,7 +207,7 @@ class Encoder:
     def __init__(self, tokenizer_json: str, lexicon: bytes):
         self.splitter, self.merger = splitter_of(tokenizer_json), merger_of(tokenizer_json)
         self.lexicon = Transducer(lexicon)
-        self.unseen = PieceIds(lambda words: list(map(self.merger.encode, words)), most=200_000)
+        self.unseen = PieceIds(lambda words: list(map(self.merger.encode, words)))
         self.tokens = pa.array(self.merger.tokens, pa.string())
 
     def _ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -246,28 +252,43 @@ def as_binary(offsets: np.ndarray, ids: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, buffers).cast(pa.binary())
 
 
+def _digests(texts: pa.Array) -> pa.Array:
+    return pa.array([hashlib.sha256(t.as_buffer()).hexdigest() for t in texts], pa.string())
+
+
 def count_pieces(docs: DataFrame, tokenizer_json: str, text_col: str = "text") -> DataFrame:
     """``piece, n`` over all texts; every task adds up its own before anything shuffles."""
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter = splitter_of(shared.value)
+        splitter, total = splitter_of(shared.value), Counter()
+
+        def told() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array(total.keys(), pa.string()), pa.array(total.values(), pa.int64())], ["piece", "n"])
+
         for batch in batches:
             column = batch.column(0)
             for a, b in slices(column):
                 _, chunks, chunk_offsets, pieces, words = splitter.split(column.slice(a, b - a))
                 per_chunk = np.bincount(chunks, minlength=len(chunk_offsets) - 1)
                 n = np.bincount(pieces, np.repeat(per_chunk, np.diff(chunk_offsets)), len(words)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(n)], ["piece", "n"])
+                total.update(dict(zip(words, n.tolist())))
+                if len(total) > COUNTED:
+                    yield told()
+                    total.clear()
+        if total:
+            yield told()
 
     return docs.select(text_col).mapInArrow(run, "piece string, n long").groupBy("piece").agg(F.sum("n").alias("n"))
 
 
 def frequent_pieces(counts: DataFrame, most: int = LEXICON) -> DataFrame:
-    """The pieces whose count reaches the lowest level that at most ``most`` pieces reach.
+    """The short pieces whose count reaches the lowest level that at most ``most`` of them reach.
 
     Levels are eighths of a power of two, so only some hundreds of sums reach the driver.
     """
+    counts = counts.filter(F.octet_length("piece") <= WORD_BYTES)
     level = F.floor(F.log2(F.col("n").cast("double")) * 8).cast("int")
     per_level = sorted(counts.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"])
     total, lowest = 0, 1 << 20
@@ -287,15 +308,17 @@ def build_lexicon(docs: DataFrame, tokenizer_json: str, text_col: str = "text",
     return compile_lexicon({w: merger.encode(w) for w in words})
 
 
-def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", decode: bool = True,
+def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", decode: str | None = "text",
            most: int = LEXICON) -> DataFrame:
-    """Add ``n_tokens``, ``ids`` and, if asked for, ``decoded`` to every row; the text is dropped.
+    """Add ``n_tokens`` and ``ids`` to every row; the text is dropped.
 
-    Columns of the input with these names are replaced.
+    ``decode="text"`` also adds the ids' text as ``decoded``, ``decode="digest"`` its SHA-256 in
+    hexadecimal as ``decoded_sha256``, so that the text itself need not leave the worker. Columns of the input with these names are replaced.
     """
     with open(tokenizer_path, encoding="utf-8") as file:
         tokenizer_json = file.read()
-    added = ["n_tokens long", "ids binary"] + ["decoded string"] * decode
+    told = {"text": ["decoded string"], "digest": ["decoded_sha256 string"], None: []}[decode]
+    added = ["n_tokens long", "ids binary", *told]
     names = [a.split()[0] for a in added]
     others = [c for c in docs.columns if c != text_col and c.lower() not in names]
     lexicon = build_lexicon(docs, tokenizer_json, text_col, most)
@@ -310,10 +333,12 @@ def encode(docs: DataFrame, tokenizer_path: str, text_col: str = "text", decode:
                 offsets, ids = encoder.encode(texts.slice(a, b - a))
                 columns = [pa.array(np.diff(offsets)), as_binary(offsets, ids)]
                 if decode:
-                    columns.append(encoder.decode(offsets, ids))
+                    text = encoder.decode(offsets, ids)
+                    columns.append(text if decode == "text" else _digests(text))
                 kept = [batch.column(i + 1).slice(a, b - a) for i in range(len(others))]
-                yield pa.RecordBatch.from_arrays(kept + columns, others + names)
+                yield pa.RecordBatch.from_arrays(kept + columns, [f"c{i}" for i in range(len(others))] + names)
 
-    rest = docs.select(*[F.col(f"`{c}`") for c in others])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rest.schema.fields]
-    return docs.select(text_col, *[F.col(f"`{c}`") for c in others]).mapInArrow(run, ", ".join(fields + added))
+    # Numbered while they pass through the workers: names may be any.
+    rest = docs.select(F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(others)])
+    schema = StructType(rest.schema.fields[1:] + StructType.fromDDL(", ".join(added)).fields)
+    return rest.mapInArrow(run, schema).toDF(*others, *names)

@@ -27,7 +27,7 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
 
 
 # Rows with whole texts are large; small Arrow batches keep both ends of a transfer small.
-ARROW_ROWS = 3000
+ARROW_ROWS = 1000
 
 
 def prepare(spark: SparkSession) -> SparkSession:

@@ -25,7 +25,9 @@ PLAIN_PIECE = r"('s|'t|'re|'ve|'m|'ll|'d|\pL+|\pN|[^\s\pL\pN]+)"
 PLAIN_CHUNK = "^[!-~À-ÿ]*$"
 MARKS = ",.;:!?*#$%&|-"  # after a word, any run of these is one piece
 SPECIAL_MARK = "\0"  # a piece that starts with it is a special token; text never makes such a piece
-SLICE_BYTES = 12 << 20
+SLICE_BYTES = 4 << 20
+CACHE_BYTES = 48 << 20  # of remembered pieces
+PIECE_BYTES = 120       # that a remembered piece takes beside its own letters
 
 
 def byte_letters() -> list[str]:
@@ -138,22 +140,23 @@ def _heads_and_marks(chunks: pa.Array, heads: pa.Array) -> tuple[pa.Array, np.nd
 
 
 class PieceIds:
-    """Ids of pieces, remembered by the worker; forgotten all at once beyond ``most`` pieces."""
+    """Ids of pieces, remembered by the worker; forgotten all at once beyond about ``most`` bytes."""
 
-    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = 1_000_000):
+    def __init__(self, encode: Callable[[list[str]], list[list[int]]], most: int = CACHE_BYTES):
         self.encode, self.most = encode, most
         self._forget()
 
     def _forget(self):
-        self.number, self.offsets, self.ids = {}, np.zeros(1, np.int64), np.zeros(0, np.uint32)
+        self.number, self.offsets, self.ids, self.held = {}, np.zeros(1, np.int64), np.zeros(0, np.uint32), 0
 
     def ragged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Offsets and ids of the given distinct pieces."""
-        if len(self.number) > self.most:
+        if self.held > self.most:
             self._forget()
         new = [w for w in words if w not in self.number]
         if new:
             lists = self.encode(new)
+            self.held += sum(map(len, new)) + PIECE_BYTES * len(new)
             self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
             self.offsets = np.r_[self.offsets, self.offsets[-1] + np.cumsum([len(x) for x in lists])]
             self.ids = np.r_[self.ids, np.fromiter(chain(*lists), np.uint32)]

@@ -41,8 +41,8 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.encode(docs, TOKENIZER).select(
-        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    return bpe.encode(docs, TOKENIZER, decode="digest").select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "decoded_sha256")
 
 
 def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

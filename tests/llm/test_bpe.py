@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from packetmill.llm import bpe
-from packetmill.llm.pieces import Splitter, slices
+from packetmill.llm.pieces import PieceIds, Splitter, slices
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 JSON = open(PATH, encoding="utf-8").read()
@@ -114,3 +114,32 @@ def test_query_against_the_library(spark, sf_dir):
         assert got[r["doc_id"]] == (
             r["doc_id"], len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(),
             hashlib.sha256(decoded.encode()).hexdigest())
+
+
+def test_digest_and_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "the nation", ("x",)), (2, None, None)], "doc_id long, text string, `a.b` struct<`c d`:string>")
+    out = bpe.encode(docs, PATH, decode="digest")
+    assert out.columns == ["doc_id", "a.b", "n_tokens", "ids", "decoded_sha256"]
+    got = {r["doc_id"]: r["decoded_sha256"] for r in out.collect()}
+    text = LIBRARY.decode(LIBRARY.encode("the nation").ids)
+    assert got == {1: hashlib.sha256(text.encode()).hexdigest(), 2: hashlib.sha256(b"").hexdigest()}
+    assert bpe.encode(docs, PATH, decode=None).columns == ["doc_id", "a.b", "n_tokens", "ids"]
+
+
+def test_counts_flush_and_long_pieces_stay_out_of_the_lexicon(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "COUNTED", 3)
+    texts = ["a b c d e a", "a " + "z" * 500, "é b", None] * 5
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(2)
+    counts = {r["piece"]: r["n"] for r in bpe.count_pieces(docs, JSON).collect()}
+    assert counts == {"a": 15, "b": 10, "c": 5, "d": 5, "e": 5, "z" * 500: 5, "é": 5}
+    words = {r["piece"] for r in bpe.frequent_pieces(bpe.count_pieces(docs, JSON)).collect()}
+    assert words == {"a", "b", "c", "d", "e", "é"}
+
+
+def test_remembered_pieces_are_forgotten_by_bytes():
+    seen = []
+    ids = PieceIds(lambda words: [seen.append(w) or [len(w)] for w in words], most=1000)
+    for word in ["x" * 2000, "a", "x" * 2000, "a", "a"]:
+        offsets, found = ids.ragged([word])
+        assert found.tolist() == [len(word)] and offsets.tolist() == [0, 1]
+    assert [len(w) for w in seen] == [2000, 1, 2000, 1]
