@@ -212,7 +212,10 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int,
 
 
 def read_tokens(manifest: DataFrame) -> DataFrame:
-    """``doc_id, start, n_tokens, ids`` of all documents of the files, checksums verified."""
+    """``doc_id, start, n_tokens, ids`` of all documents of the files, checksums verified.
+
+    Every file is a task of its own.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -228,7 +231,9 @@ def read_tokens(manifest: DataFrame) -> DataFrame:
                             held, size = [], 0
                     yield _document_rows(held)
 
-    return manifest.select("folder", "name", "start").repartition(F.col("name")).mapInArrow(
+    # A stated number of ranges is not merged again, and neighbouring numbers never meet by their hash.
+    dealt = manifest.repartitionByRange(max(1, manifest.count()), "file_no").select("folder", "name", "start")
+    return dealt.mapInArrow(
         run, "doc_id long, start long, n_tokens long, ids binary")
 
 

@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from packetmill.llm import token_files
@@ -90,3 +91,19 @@ def test_odd_rows(spark, tmp_path):
     for m in manifest.collect():
         assert all(d is None or ids.tolist() == want[d] for d, ids in token_files.read_documents(f"{m['folder']}/{m['name']}", {1, 9}).items())
     assert token_files.write_and_read(docs.limit(0), PATH, 2).collect() == []
+
+
+def test_every_file_is_read_by_a_task_of_its_own(spark, tmp_path):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        docs = spark.createDataFrame([(i, f"word {i}") for i in range(800)], "doc_id long, text string")
+        manifest = token_files.write_tokens(docs, str(tmp_path), PATH, 2)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        n = manifest.count()
+        tasks = token_files.read_tokens(manifest).select(F.spark_partition_id().alias("p")).distinct().count()
+        assert n == tasks == 16
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
