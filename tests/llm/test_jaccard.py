@@ -148,3 +148,32 @@ def test_components(spark):
     for chunk in (10**6, 40):  # in one task, and in several with star rounds between
         rows = connected(df, chunk).collect()
         assert {r["node"]: r["root"] for r in rows} == root and len(rows) == len(root)
+
+
+def test_a_family_joined_by_sort_merge_is_dealt_out_again(spark):
+    """Without broadcasting, the groups of a hot family still lie in separate tasks."""
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")}
+    for k in before:
+        spark.conf.set(k, "-1")
+    try:
+        rows = families(3) + SMALL
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        got = jaccard.join_components(docs, chunk=8, large=20).collect()
+        assert sorted((str(r[0]), r[1], str(r[2])) for r in got) == plain_components(rows)
+        sets = spark.createDataFrame(
+            [("f", f"n{i}", i, 1, bytes(8), [(0, bytes(8))]) for i in range(300)],
+            "family string, node string, handle long, n long, shingles binary, sketches array<struct<band:int,words:binary>>")
+        grid = jaccard._grid(sets, None, 20).repartition("family", "band", "i", "j").groupBy("family", "band", "i", "j").count()
+        plan = grid._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "hashpartitioning(family" in plan and "REPARTITION_BY_COL" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_recurring_cells_over_slots(spark, monkeypatch):
+    rows = families(4)
+    packed = jaccard.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), "doc_id", "text")
+    whole = jaccard.recurring_cells(packed, 5).value
+    monkeypatch.setattr(jaccard, "SLOT_ROWS", 20)
+    assert (jaccard.recurring_cells(packed, 5).value == whole).all() and whole.any()
