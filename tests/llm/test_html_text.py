@@ -2,6 +2,7 @@
 
 import html
 import re
+import time
 
 import pytest
 
@@ -33,6 +34,46 @@ PAGES = [
 ]
 
 
+FOREIGN = "Miasto leży nad rzeką, którą od wieków pływały barki załadowane zbożem, drewnem oraz solą z odległych kopalń królewskich."
+CHINESE = "这座城市位于河边，几个世纪以来，装载着粮食、木材和来自遥远皇家矿山的盐的驳船沿河而行，人们在这里生活和工作，世世代代延续着古老的传统和手工艺，直到今天仍然如此，许多游客慕名而来参观古老的城墙和桥梁。"
+NAV, FOOT = "<nav><a href=/>Home</a> <a href=/x>More</a></nav>", f"<footer>{LONG2}</footer>"
+WHOLE = [  # pages that must not come out empty
+    (f"<body><form action=/><nav>{LONG2}</nav><h1>Town</h1><p>{LONG}</p><p>{LONG2}</p><p>{LONG}</p>{FOOT}</form></body>", f"Town {LONG} {LONG2} {LONG}"),
+    (f"<div class='site has-sidebar'>{NAV}<p>{LONG}</p><div class=sidebar>{LONG2}</div></div>", LONG),
+    (f"<div class='no-sidebar'><article><p>{LONG}</p></article></div>", LONG),
+    (f"<div class='widget'><article><p>{LONG}</p></article></div>{FOOT}", LONG),
+    (f"<a name='x'/><p>{LONG}</p><p>{LONG2}</p>", f"{LONG} {LONG2}"),
+    (f"<a name=top><p>{LONG}</p><a href=y>link</a><p>{LONG2}</p>", f"{LONG} {LONG2}"),
+    (f"{NAV}<p>{FOREIGN}</p><p>Krótko.</p><p>{FOREIGN}</p>{FOOT}", f"{FOREIGN} Krótko. {FOREIGN}"),
+    (f"{NAV}<p>{CHINESE}</p>{FOOT}", CHINESE),
+    (f"<p it's>{LONG}</p><p class=\"a > b\" d'e>{LONG2}</p>", f"{LONG} {LONG2}"),
+    (f"<p title=\"never closed>{LONG}</p><p>{LONG2}</p>", f"{LONG} {LONG2}"),
+]
+GONE = [  # pages that hold nothing but boilerplate
+    f"{NAV}<div class='cookie-notice'><p>{LONG}</p></div>{FOOT}", f"{NAV}<form><p>{LONG}</p><input name=q></form>{FOOT}",
+    f"<div class=comments><p>{LONG}</p><p>{LONG2}</p></div>", f"{NAV}{FOOT}<aside><article>{LONG}</article></aside>",
+    f"<p><a href=x>{FOREIGN}</a></p>{FOOT}",
+]
+
+
+@pytest.mark.parametrize("page,want", WHOLE + [(p, "") for p in GONE])
+def test_whole_pages_are_kept_and_boilerplate_is_not(page, want):
+    assert html_text.main_text(page) == want
+
+
+def test_comments_beside_an_article_stay_out():
+    comments = f"<div class=comments>{'<article class=comment><p>' + LONG2 + '</p></article>'}" * 9 + "</div>"
+    assert html_text.main_text(f"<article><p>{LONG}</p></article>{comments}") == LONG
+
+
+def test_very_many_tags_take_linear_time():
+    start = time.perf_counter()
+    assert html_text.main_text("<div>" * 100_000 + f"<p>{LONG}" + "</p>" * 100_000) == LONG
+    assert html_text.main_text("<div class=ad>" * 50_000 + LONG + "</i>" * 50_000 + f"<b>x</b>{LONG2}" * 500) == ""
+    html_text.main_text("<p a=\"" * 50_000)
+    assert time.perf_counter() - start < 10
+
+
 @pytest.mark.parametrize("page,want", PAGES)
 def test_page(page, want):
     assert html_text.main_text(page) == want
