@@ -9,8 +9,8 @@ opened. The first shard is searched first, and the kth scores found there are wh
 start from, so most of these report little. The best of all shards are ranked in the end.
 
 Defined cases: vectors that are null or hold a null, a NaN or an infinity take no part; vectors
-meet only those of their own length; rows that repeat an id and its vector count once, rows with a
-query's id are its own; rows without an id are candidates, ranked after others of equal score;
+meet only those of their own length; rows that repeat an id are rows of their own, as candidates and
+as queries, but none is a candidate of a query with its own id; rows without an id are candidates, ranked after others of equal score;
 scores beyond the range of long are cut to it.
 """
 
@@ -166,15 +166,14 @@ def top_k(table: DataFrame, k: int, is_query, id_col: str = "vec_id", vector_col
     plain = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < math.inf))
     rows = table.filter(x.isNotNull() & plain).select(
         F.col(id_col).cast("long").alias("id"), F.transform(x, lambda c: F.floor(c.cast("double") * SCALE)).alias("v"))
-    rows = stored(rows.distinct(), "vectors")
-    asked = rows.filter(is_query(F.col("id"))).select(F.col("id").alias("query_id"), F.col("v").alias("q"))
+    rows = stored(rows.withColumn("row_no", F.monotonically_increasing_id()), "vectors")
+    asked = rows.filter(is_query(F.col("id"))).select(F.col("id").alias("query_id"), F.col("v").alias("q"), F.col("row_no").alias("query_no"))
     n, n_queries = rows.count(), asked.count()
     n_shards, n_blocks = max(1, math.ceil(n / shard)), max(1, math.ceil(n_queries / block))
-    shard_no = F.pmod(F.xxhash64("id", "v"), F.lit(n_shards)).cast("int")
+    shard_no = F.pmod(F.xxhash64("row_no"), F.lit(n_shards)).cast("int")
     vectors = rows.select(F.size("v").alias("length"), shard_no.alias("shard"), "id", "v")
-    query_no = F.xxhash64("query_id", "q")
-    block_no = F.pmod(F.xxhash64(query_no, F.lit(1)), F.lit(n_blocks)).cast("int")
-    queries = asked.select(F.size("q").alias("length"), block_no.alias("block"), query_no.alias("query_no"), "query_id", "q")
+    block_no = F.pmod(F.xxhash64("query_no", F.lit(1)), F.lit(n_blocks)).cast("int")
+    queries = asked.select(F.size("q").alias("length"), block_no.alias("block"), "query_no", "query_id", "q")
     found = stored(_search_shards(vectors, queries.withColumn("least", F.lit(None).cast("long")), (0, 0), n_blocks, k), "first-shard")
     if n_shards > 1:
         reached = found.groupBy("query_no").agg(F.min("score").alias("least"), F.count(F.lit(1)).alias("n"))

@@ -10,7 +10,7 @@ from packetmill.llm import topk
 
 def plain(rows, k, is_query):
     out, good = [], []
-    for i, v in dict.fromkeys((i, tuple(v) if v is not None else None) for i, v in rows):
+    for i, v in rows:
         if v is not None and all(c is not None and math.isfinite(c) for c in v):
             good.append((i, [math.floor(64 * float(np.float32(c))) for c in v]))
     for q, x in good:
@@ -36,7 +36,8 @@ ODD = [(2000, None), (2020, [1.0, None]), (2040, [float("nan")] * 8), (2060, [fl
 @pytest.mark.parametrize("options", [{}, {"shard": 60, "block": 7}])
 def test_against_all_pairs(spark, options):
     rows = vectors() + ODD
-    df = spark.createDataFrame([(i, v, "x") for i, v in rows + [rows[40]]], "vec_id long, embedding array<float>, id string")
+    rows += [rows[40], rows[41], rows[41], rows[710]]  # a query and candidates that repeat
+    df = spark.createDataFrame([(i, v, "x") for i, v in rows], "vec_id long, embedding array<float>, id string")
     got = topk.top_k(df, 20, lambda c: c % 20 == 0, **options)
     assert sorted(map(tuple, got.collect()), key=str) == plain(rows, 20, lambda q: q % 20 == 0)
 
