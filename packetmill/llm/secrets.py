@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from packetmill.llm.common import pack, stored, unpack
 
 SHARD = 4096
+STRETCH = 256      # matches of a text whose positions are added up together
 MOST_STRINGS = 64  # alternatives of a rule's literal text that are spelled out
 
 # Nodes of the parsed expressions, by the names that the standard library gives them.
@@ -180,8 +181,17 @@ def candidates(index: DataFrame, queries: dict[int, object]) -> DataFrame:
             .groupBy("key").agg(F.bit_or("rule").alias("rules")))
 
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often the expression names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def _spans(text: Column, rule: Rule) -> Column:
-    """``start, end`` of a rule's matches: the pieces between them give the positions."""
+    """``start, end`` of a rule's matches: the pieces between them give the positions.
+
+    Lengths are added up within stretches of matches first and over the stretches then, so that no
+    list grows match by match to the length of them all.
+    """
     pattern = F.lit(rule.pattern)
     zipped = F.arrays_zip(
         F.split(text, rule.pattern, -1).alias("piece"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("hit"),
@@ -196,7 +206,17 @@ def _spans(text: Column, rule: Rule) -> Column:
         long_enough = x["hit"].isNotNull() & (F.char_length(x["value"]) >= rule.least)
         return F.struct(end.alias("at"), F.when(long_enough, F.concat(seen["out"], one)).otherwise(seen["out"]).alias("out"))
 
-    walked = F.aggregate(zipped, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda seen: seen["out"])
+    def stretches(x: Column) -> Column:
+        numbers = F.sequence(F.lit(0), F.floor((F.size(x) - 1) / STRETCH).cast("int"))
+        return F.transform(numbers, lambda i: F.aggregate(
+            F.slice(x, i * STRETCH + 1, F.lit(STRETCH)), F.struct(F.lit(0).alias("at"), empty.alias("out")), step))
+
+    def shift(seen: Column, x: Column) -> Column:
+        moved = F.transform(x["out"], lambda s: F.struct((s["start"] + seen["at"]).alias("start"), (s["end"] + seen["at"]).alias("end")))
+        return F.struct((seen["at"] + x["at"]).alias("at"), F.concat(seen["out"], F.array(moved)).alias("out"))
+
+    none = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+    walked = _bound(zipped, lambda z: _bound(stretches(z), lambda y: F.flatten(F.aggregate(y, none, shift)["out"])))
     return F.when(F.rlike(text, pattern), walked).otherwise(empty)
 
 
@@ -220,7 +240,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules:
     trigrams = sorted(set().union(*map(query_trigrams, queries.values())))
     if trigrams:
         index = stored(build_index(keyed.select("key", "text"), trigrams, docs.count()), "trigrams")
-        chosen = candidates(index, queries).withColumnRenamed("key", "c_key")
+        # Stored, so that its size is known when the join is planned: few candidates are broadcast.
+        chosen = stored(candidates(index, queries).withColumnRenamed("key", "c_key"), "candidates")
         keyed = keyed.join(chosen, F.col("key") == F.col("c_key"), "left").drop("c_key")
     else:
         keyed = keyed.withColumn("rules", F.lit(0).cast("long"))

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -84,3 +85,24 @@ def test_query_is_native(spark, sf_dir):
 
     plan = QUERIES["op1_secrets"](spark, sf_dir)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_very_many_matches_in_one_text(spark):
+    """Positions are added up in stretches: sixty thousand matches, with others between that are too short."""
+    text = "é ".join(f"token=abc{i:05d} secret=x{i % 7}" for i in range(60_000))
+    docs = spark.createDataFrame([(1, text), (2, "f" * 24 + " " + "a" * 30)], "doc_id long, text string")
+    start = time.perf_counter()
+    got = {r["doc_id"]: r for r in secrets.find_secrets(docs).collect()}
+    assert time.perf_counter() - start < 30
+    assert got[1]["n_assign"] == 60_000 and got[2]["n_hex"] == 2
+    assert got[1]["base_sha256"] == hashlib.sha256(told(plain(text)).encode()).hexdigest()
+    for n in (secrets.STRETCH - 1, secrets.STRETCH, secrets.STRETCH + 1, 2 * secrets.STRETCH):
+        text = "token=abcdef " * n
+        row, = secrets.find_secrets(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+        assert row["base_sha256"] == hashlib.sha256(told(plain(text)).encode()).hexdigest()
+
+
+def test_texts_stay_where_they_are_when_candidates_are_few(spark):
+    docs = spark.createDataFrame([(i, f"text {i} " + ("token=abcdef" if i == 3 else "")) for i in range(50)], "doc_id long, text string")
+    plan = secrets.find_secrets(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
