@@ -12,7 +12,8 @@ HELD_OUT. A prediction uses the text alone.
 
 Defined cases: a text that is null or without any letter is ``und`` with score 0; rows without an
 id are never used for training and count as not held out; without training rows everything is
-``und``; at most LANGUAGES languages, the most frequent ones, are learned.
+``und``. Every language of the training rows is learned, the rarest too; one takes 0.8 MB of the
+driver's memory while the model is fitted, and 0.3 MB of the broadcast model.
 """
 
 from __future__ import annotations
@@ -32,7 +33,6 @@ BITS = 15
 SIZE = 1 << BITS
 ORDERS = 3
 SAMPLE = 4000
-LANGUAGES = 256
 FOLDS, HELD_OUT = 4, 2
 UNKNOWN = "und"
 
@@ -176,7 +176,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
           sample: int = SAMPLE) -> Model:
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     rows = rows.filter("text is not null and lang is not null").filter(fold(F.col("id"), FOLDS) != HELD_OUT)
-    per_language = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
+    per_language = rows.groupBy("lang").count().collect()  # one row per language
     languages = sorted(r["lang"] for r in per_language)
     if not languages:
         return Model([], np.zeros(SIZE))

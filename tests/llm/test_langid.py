@@ -1,5 +1,7 @@
 """Language ID: held-out accuracy, what predictions may depend on, odd rows."""
 
+import zlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -71,3 +73,14 @@ def test_features_count_every_gram():
     features, counts = langid.counted("ab ab " * 3000)
     assert counts.sum() == len(langid.grams(langid.letters_of("ab ab " * 3000)))
     assert langid.counted("12 !") is None
+
+
+def test_every_language_is_learned(spark):
+    """Three hundred languages, the rarest with two documents of a share of the sample."""
+    letters = [chr(0x4E00 + i) for i in range(300)]
+    rows = [(i * 10 + k, f"{x * 9} {x * 4} a {x * 7}", f"l{i:03d}") for i, x in enumerate(letters) for k in range(2 if i % 50 else 6)]
+    rows = [r for r in rows for _ in (0,) if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=1500)
+    assert model.languages == sorted({r[2] for r in rows}) and len(model.languages) > 256
+    told = [model.predict(r[1])[0] for r in rows]
+    assert len(set(told)) > 256 and sum(t == r[2] for t, r in zip(told, rows)) > 0.85 * len(rows)
