@@ -64,6 +64,27 @@ SELECT cast(conv_id AS string) AS load_id, cast(turn / 2 + 1 AS int) AS doc_seq,
 FROM conversations WHERE turn % 2 = 0
 """
 
+# Long packets: the whole texts of a source's documents are its pages, with gaps in their numbers.
+SQL["book_pages"] = """
+SELECT load_id, cast(n + floor(n / cast(100 AS double)) * 3 AS int) AS page_no, page_text, page_conf
+FROM (SELECT coalesce(source, 'none') AS load_id, row_number() OVER (PARTITION BY coalesce(source, 'none') ORDER BY doc_id) AS n,
+             text AS page_text, (doc_id % 98) / cast(97 AS double) AS page_conf FROM documents) t
+"""
+
+# Documents over one, some or very many of those pages, with all key fields.
+SQL["book_documents"] = """
+SELECT load_id, page_no AS doc_seq,
+       CASE cast(page_no % 20 AS int) WHEN 0 THEN '2-300,302-600' WHEN 5 THEN concat('1-', cast(page_no AS string))
+            WHEN 10 THEN concat(cast(page_no AS string), '-', cast(page_no + 150 AS string), ',1-70') ELSE cast(page_no AS string) END AS page_range,
+       substr(page_text, 10, 12) AS load_number, substr(page_text, 30, 600) AS pro_number, concat('B', cast(page_no * 7919 AS string)) AS bol_number,
+       substr(page_text, 1, 40) AS order_number, CASE WHEN page_no % 10 = 0 THEN '' ELSE substr(page_text, 100, 9) END AS rc_number,
+       concat('MC ', substr(page_text, 5, 6)) AS broker_mc, substr(page_text, 50, 8) AS carrier_mc, substr(page_text, 60, 5) AS carrier_dot,
+       substr(page_text, 3, 4) AS carrier_scac, page_no + cast(0.5 AS double) AS rate_total, cast(page_no * 1000 AS double) AS line_haul,
+       cast(page_no % 7 AS double) AS fuel_surcharge, cast(page_no AS double) AS weight,
+       substr(page_text, 20, 30) AS rate_total_evidence, CASE WHEN page_no % 3 = 0 THEN '$' ELSE substr(page_text, 200, 5) END AS weight_evidence
+FROM book_pages WHERE page_no % 5 = 0
+"""
+
 SQL["freight_documents"] = """
 SELECT cast(l_orderkey AS string) AS load_id,
        cast(row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice, l_quantity) AS int) AS doc_seq,

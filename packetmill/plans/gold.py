@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from packetmill.operators import gold
 from packetmill.plans.fixtures import table, with_tables
-from packetmill.plans.registry import query
+from packetmill.plans.registry import ORACLES, query
 from packetmill.session import scratch_dir
-from packetmill.sources import writers
+from packetmill.sources import published, writers
 
 _TYPED = r"""typed AS (
   SELECT * REPLACE (coalesce(pallet_count, try_cast(regexp_extract(commodity, '^([0-9]+) PLTS ', 1) AS INTEGER)) AS pallet_count),
@@ -215,6 +215,16 @@ def d5_load_overview(spark, sf_dir):
 
 
 @query(_oracle(f"SELECT {_LEAD}, {', '.join(gold.RATE_CONFIRMATION)} FROM classified WHERE doc_type = 'rate_confirmation'"))
+def b7_publish_ml(spark, sf_dir):
+    """Published, replaced by a version of half the rows, and pointed back to the first."""
+    out, rows = scratch_dir(spark, "b7-published"), gold.rate_confirmations(_classified(spark, sf_dir))
+    whole = published.publish(rows, out)
+    published.publish(published.read_published(spark, out).filter("load_id % 2 = 0"), out)
+    published.point_to(spark, out, whole)
+    return published.read_published(spark, out)
+
+
+@query(ORACLES["b7_publish_ml"])
 def b7_export_ml(spark, sf_dir):
     """Exported to Parquet, that to CSV, and the CSV read back."""
     out = scratch_dir(spark, "b7")

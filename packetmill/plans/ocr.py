@@ -43,12 +43,11 @@ def scoped_oracle(select: str) -> str:
 SELECT load_id, doc_seq, unnest(pages) AS page_no, cast(unnest(range(len(pages))) AS INTEGER) AS place, cast(len(pages) AS VARCHAR) AS named FROM l
 UNION ALL SELECT load_id, doc_seq, NULL, NULL, CASE WHEN page_range LIKE '9000000000-%' THEN '9999999999991000000000' ELSE '0' END FROM l WHERE len(pages) = 0""", "packet_documents"))
 def c4_parse_page_range(spark, sf_dir):
-    """Every named page; a range without any, or with more than a row can list, has its count alone."""
-    docs, text_of = table(spark, sf_dir, "packet_documents"), F.col("page_range")
-    return docs.select(
-        "load_id", "doc_seq", page_ranges.named_pages(text_of).cast("string").alias("named"),
-        F.posexplode_outer(page_ranges.parse_page_range(text_of)).alias("place", "page_no")
-    )
+    """Every named page; a range without any, or with more than any table can list, has its count alone."""
+    docs = table(spark, sf_dir, "packet_documents").select("load_id", "doc_seq", "page_range")
+    return page_ranges.list_named(docs).select(
+        "load_id", "doc_seq", page_ranges.named_pages(F.col("page_range")).cast("string").alias("named"),
+        F.col("place").cast("int").alias("place"), "page_no")
 
 
 @query(with_tables("""WITH v AS (

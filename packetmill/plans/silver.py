@@ -11,7 +11,7 @@ from packetmill.functions import parsing
 from packetmill.operators import conformance, extractor, manifest, nested, process
 from packetmill.operators import pages as page_ops
 from packetmill.plans.fixtures import RAW_PREFIX, table, with_tables
-from packetmill.plans.registry import query
+from packetmill.plans.registry import ORACLES, query
 from packetmill.session import scratch_dir
 from packetmill.sources import readers, writers
 
@@ -23,14 +23,14 @@ def silver_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "silver_documents").withColumnRenamed("doc_type_raw", "doc_type")
 
 
-def packets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def packets(spark: SparkSession, sf_dir: str, **options) -> DataFrame:
     children = {
         "stops": table(spark, sf_dir, "stops"),
         "accessorials": table(spark, sf_dir, "accessorials"),
         "references": table(spark, sf_dir, "doc_references"),
     }
     docs = silver_input(spark, sf_dir).withColumn("packet_summary", F.concat(F.lit("load "), "load_id"))
-    return nested.build_packets(docs, children, CHILD_ORDER)
+    return nested.build_packets(docs, children, CHILD_ORDER, **options)
 
 
 # Folders of stored bronze records, by session and source folder.
@@ -106,6 +106,14 @@ def h1_flatten_documents(spark, sf_dir):
     return nested.flatten_documents(bronze(spark, sf_dir)).select(*FLAT_COLUMNS, "needs_review", "n_stops", "n_accessorials")
 
 
+@query(ORACLES["h1_flatten_documents"])
+def h8_records_by_bytes(spark, sf_dir):
+    """Records cut every two thousand bytes, also between the children of a document, and flattened again."""
+    out = scratch_dir(spark, "h8-bytes")
+    packets(spark, sf_dir, many=3, bytes_per_record=2000).write.parquet(out)
+    return nested.flatten_documents(spark.read.parquet(out)).select(*FLAT_COLUMNS, "needs_review", "n_stops", "n_accessorials")
+
+
 @query(with_tables("""SELECT load_id, max(source_pdf) AS source_pdf, 'load ' || load_id AS packet_summary, count(*) AS n_documents
 FROM silver_documents GROUP BY load_id""", "silver_documents"))
 def h2_flatten_loads(spark, sf_dir):
@@ -337,7 +345,19 @@ SELECT load_id, CASE WHEN detail IS NULL THEN 'ok' ELSE 'failed' END AS status,
   CASE WHEN detail IS NULL THEN cast(10 * last AS INTEGER) END AS last_pieces, CASE WHEN detail IS NULL THEN cast(n AS INTEGER) END AS last_seq FROM d""", "ocr_pages"))
 def k1_apply_extractor(spark, sf_dir):
     inputs = page_ops.marked_text(table(spark, sf_dir, "ocr_pages"))
-    results = extractor.apply_extractor(inputs, _sample_extract)
+    return _told(extractor.apply_extractor(inputs, _sample_extract))
+
+
+@query(ORACLES["k1_apply_extractor"])
+def k1_call_ledger(spark, sf_dir):
+    """The same in waves with a ledger, and a second run that calls nothing that was answered."""
+    inputs = page_ops.marked_text(table(spark, sf_dir, "ocr_pages"))
+    ledger = extractor.Ledger(scratch_dir(spark, "ledger"), wave_rows=2000)
+    extractor.apply_extractor(inputs, _sample_extract, ledger)
+    return _told(extractor.apply_extractor(inputs, _sample_extract, ledger))
+
+
+def _told(results: DataFrame) -> DataFrame:
     last = F.element_at("packet.documents", -1)
     return results.select(
         "load_id", "status", "detail", F.col("packet.packet_summary").alias("packet_summary"), F.col("packet.load_id").alias("packet_load"),

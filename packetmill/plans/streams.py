@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from packetmill.operators import manifest
 from packetmill.plans import fixtures
 from packetmill.plans.fixtures import RAW_PREFIX, with_tables
-from packetmill.plans.registry import query
+from packetmill.plans.registry import ORACLES, query
 from packetmill.session import scratch_dir
 from packetmill.streaming import ingest, throughput
 
@@ -51,3 +51,14 @@ def j3_throughput(spark, sf_dir):
     throughput.run_throughput(calls, out, scratch_dir(spark, "j3-checkpoint"), "1 hour")
     rows = throughput.latest_windows(spark, out)
     return rows.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm"))
+
+
+@query(ORACLES["j3_throughput"])
+def j3_late_rows(spark, sf_dir):
+    """Calls in four files, each over the whole time: what comes late is kept and folded in."""
+    out, calls = scratch_dir(spark, "j3-late"), fixtures.table(spark, sf_dir, "usage_calls").select("call_id", "ts", "total_tokens")
+    calls.withColumn("turn", F.col("call_id") % 4).repartition(4, "turn").drop("turn").write.parquet(f"{out}/calls")
+    stream = spark.readStream.schema(calls.schema).option("maxFilesPerTrigger", 1).parquet(f"{out}/calls")
+    throughput.run_throughput_keeping_late(stream, f"{out}/table", f"{out}/checkpoint", "10 minutes", "1 hour")
+    rows = throughput.fold_late(spark, f"{out}/table", "1 hour")
+    return rows.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from packetmill.operators import manifest
 from packetmill.plans.fixtures import OUTPUT_PREFIX, RAW_PREFIX, VIEW, base, over_views, table, with_tables
 from packetmill.plans.registry import query
 from packetmill.session import scratch_dir
-from packetmill.sources import writers
+from packetmill.sources import listing, writers
 
 PDFS = """pdfs AS (
   SELECT *, regexp_extract(path, '^raw/loads/([^/]*)', 1) AS load_id FROM manifest WHERE path ILIKE 'raw/loads/%.pdf'
@@ -45,6 +46,30 @@ def a1_scan_manifest(spark, sf_dir):
     return _files(spark, sf_dir).select("path", "length")
 
 
+@query("""SELECT cast(s_suppkey AS VARCHAR) AS load_id, s_name || CASE WHEN s_suppkey % 2 = 0 THEN '.pdf' ELSE '.PDF' END AS name,
+  cast(s_suppkey % 7 * 10 AS BIGINT) AS length FROM supplier""")
+def a1_list_folder(spark, sf_dir):
+    """A file per supplier, every seventh of them empty, listed from its folder."""
+    root = scratch_dir(spark, "a1")
+
+    def make(batches):
+        files, base = fs.FileSystem.from_uri(root)
+        for batch in batches:
+            for row in batch.to_pylist():
+                files.create_dir(f"{base}/{row['load_id']}", recursive=True)
+                for name, n in ((row["name"], row["length"]), ("note.txt", 1)):
+                    with files.open_output_stream(f"{base}/{row['load_id']}/{name}") as out:
+                        out.write(b"x" * n)
+            yield batch
+
+    ending = F.when(F.col("s_suppkey") % 2 == 0, ".pdf").otherwise(".PDF")
+    rows = base(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("load_id"), F.concat("s_name", ending).alias("name"), (F.col("s_suppkey") % 7 * 10).cast("bigint").alias("length"))
+    rows.mapInArrow(make, rows.schema).write.format("noop").mode("overwrite").save()
+    files = manifest.scan_manifest(listing.list_files(spark, root), f"{root}/")
+    return files.select("load_id", F.element_at(F.split("path", "/"), -1).alias("name"), "length")
+
+
 @query(_oracle("SELECT load_id FROM done"))
 def a4_done_loads(spark, sf_dir):
     return _done(spark, sf_dir)

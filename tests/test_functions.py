@@ -174,3 +174,16 @@ def test_carrier_key(spark):
                                         ("2020-1-8", False), (" 2020-01-08", False)])
 def test_is_date(spark, value, good):
     assert evaluate(spark, [value], "string", conformance.is_date) == [good]
+
+
+def test_long_ranges_are_listed_in_rows(spark):
+    """One long range nulls nothing: its cell's pages come as rows, beyond what an array would hold."""
+    cells = [(1, "1-3, 5-2000004"), (2, "7"), (3, "x"), (4, None), (5, "3-4,1-99999999999999999999,2,2"), (6, "4-99999999999999999999")]
+    df = spark.createDataFrame(cells, "id int, page_range string")
+    rows = page_ranges.list_named(df)
+    small = rows.filter("id <> 1").select("id", "place", "page_no")
+    assert sorted(map(tuple, small.collect()), key=str) == sorted(
+        [(2, 0, 7), (3, None, None), (4, None, None), (5, 0, 3), (5, 1, 4), (5, 2, 2), (5, 3, 2), (6, None, None)], key=str)
+    long = rows.filter("id = 1").agg(F.count("*"), F.countDistinct("page_no"), F.max("place"), F.min("page_no"), F.max("page_no"),
+                                    F.bool_and((F.col("place") < 3) == (F.col("page_no") <= 3))).first()
+    assert tuple(long) == (2_000_003, 2_000_003, 2_000_002, 1, 2_000_004, True)
