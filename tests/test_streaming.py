@@ -91,7 +91,7 @@ def test_late_rows_are_kept_and_folded_in(spark, tmp_path):
     src, dst, checkpoint = tmp_path / "src", str(tmp_path / "dst"), str(tmp_path / "cp")
     schema = "id bigint, ts timestamp, total_tokens bigint"
     base = spark.range(0, 300).select("id", F.timestamp_seconds(F.col("id") * 7).alias("ts"), F.when(F.col("id") % 5 > 0, F.col("id")).alias("total_tokens"))
-    base = base.unionByName(spark.createDataFrame([(900, None, 5)], base.schema))
+    base = base.unionByName(spark.createDataFrame([(900, None, 5)], schema))
     for part in (2, 0, 1):
         base.filter(F.col("id") % 3 == part).coalesce(1).write.mode("append").parquet(str(src))
         for _ in range(2):  # a run over nothing new changes nothing
