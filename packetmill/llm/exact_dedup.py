@@ -7,7 +7,9 @@ was hit only once cannot have an equal, and passes straight through with its tex
 true copies and a few percent of chance, are grouped by SHA-256 and joined back.
 
 A filter round has at most ``max_bits`` bits (128 MB); larger inputs are cut by hash into several
-rounds, each broadcast on its own, so what is broadcast has a fixed bound at any input size.
+rounds. Rounds run one after the other: each writes its verdicts and then gives its broadcast back,
+so what is broadcast at any time has a fixed bound at any input size. The rows are then written
+twice, by round and by verdict; a single round writes neither.
 
 Defined cases: a null text counts as empty; among equal texts the smallest id stays, null ids last;
 rows that repeat an id and its text are copies of each other, one of which stays; an empty table
@@ -23,9 +25,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from packetmill.llm.common import SPACE, pack, stored, unpack
 from packetmill.operators.joins import join_summary
+from packetmill.session import scratch_dir
 
 BITS_PER_ROW = 8
 PROBES = 2
@@ -78,7 +82,8 @@ def _merge_blocks(group: pa.Table) -> pa.Table:
 
 
 def repeated_hash_tests(hashed: DataFrame, n_rows: int, bits_per_row: int = BITS_PER_ROW, max_bits: int = MAX_BITS):
-    """For every round a function that tells which values of the long column ``h`` may occur twice.
+    """The number of rounds, and for a round a function that tells which values of the long column
+    ``h`` may occur twice. Its ``give_back`` frees the round's broadcast once its rows are written.
 
     Never wrong about a value that does occur twice; wrong about a few percent of the others.
     """
@@ -107,6 +112,7 @@ def repeated_hash_tests(hashed: DataFrame, n_rows: int, bits_per_row: int = BITS
             hit = (filled[cells >> np.uint64(3)] >> (cells & np.uint64(7)).astype(np.uint8)) & 1
             return pd.Series(hit.all(axis=0))
 
+        maybe.give_back = shared.destroy
         return maybe
 
     return rounds, test
@@ -118,22 +124,30 @@ def add_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "id", "row", F.sha2(F.regexp_replace("text", SPACE, " "), 256).alias("text_sha256"))
 
 
+def _tested_in_rounds(hashed: DataFrame, rounds: int, test) -> DataFrame:
+    """The rows with ``maybe``; one round's filter is broadcast at a time."""
+    spark = hashed.sparkSession
+    # One copy by round, so that every round reads its own rows only.
+    by_round = F.when(F.col("h") < 0, F.pmod(F.col("h"), F.lit(rounds)) + F.lit(2**64 % rounds))
+    by_round = F.pmod(F.coalesce(by_round, F.pmod(F.col("h"), F.lit(rounds))), F.lit(rounds))
+    dealt = stored(hashed.withColumn("round", by_round.cast("int")), "rounds", "round")
+    path = scratch_dir(spark, "verdicts")
+    for i in range(rounds):
+        maybe = test(i)
+        told = dealt.filter(F.col("round") == i).drop("round").withColumn("maybe", maybe("h"))
+        told.write.partitionBy("maybe").parquet(f"{path}/round={i}")
+        maybe.give_back()
+    schema = T.StructType([*hashed.schema.fields, T.StructField("maybe", T.BooleanType())])
+    folders = [f"{path}/round={i}" for i in range(rounds)]
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
 def mark_repeats(prints: DataFrame, bits_per_row: int = BITS_PER_ROW, max_bits: int = MAX_BITS) -> DataFrame:
     """Add ``keep_id``, ``group_size`` and ``kept`` to rows with ``id`` and ``text_sha256``."""
     hashed = prints.withColumn("h", F.xxhash64("text_sha256"))
     rounds, test = repeated_hash_tests(hashed, prints.count(), bits_per_row, max_bits)
-    if rounds > 1:
-        # One copy by round, so that every round reads its own rows only.
-        by_round = F.when(F.col("h") < 0, F.pmod(F.col("h"), F.lit(rounds)) + F.lit(2**64 % rounds))
-        by_round = F.pmod(F.coalesce(by_round, F.pmod(F.col("h"), F.lit(rounds))), F.lit(rounds))
-        hashed = stored(hashed.withColumn("round", by_round.cast("int")), "rounds", "round")
-    singles, several = None, None
-    for i in range(rounds):
-        part = hashed.filter(F.col("round") == i).drop("round") if rounds > 1 else hashed
-        part = part.withColumn("maybe", test(i)("h")).drop("h")
-        alone, repeated = part.filter(~F.col("maybe")).drop("maybe"), part.filter("maybe").drop("maybe")
-        singles = alone if singles is None else singles.unionByName(alone)
-        several = repeated if several is None else several.unionByName(repeated)
+    tested = hashed.withColumn("maybe", test(0)("h")) if rounds == 1 else _tested_in_rounds(hashed, rounds, test)
+    singles, several = (tested.filter(verdict).drop("h", "maybe") for verdict in ("not maybe", "maybe"))
     several = stored(several.withColumn("row_no", F.monotonically_increasing_id()), "repeated")
     groups = several.groupBy("text_sha256").agg(
         F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row_no")).alias("keep"),

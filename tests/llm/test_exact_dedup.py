@@ -51,6 +51,33 @@ def test_rounds_agree(docs):
     assert rows_of(got) == plain(ROWS)
 
 
+def test_one_round_is_broadcast_at_a_time(docs, monkeypatch):
+    """Every round gives its filter back before the next one is made; rows keep all their columns."""
+    live, most = [], []
+    made = exact_dedup.repeated_hash_tests
+
+    def counted(*args):
+        rounds, test = made(*args)
+
+        def one(i):
+            maybe = test(i)
+            free = maybe.give_back
+            live.append(i)
+            most.append(len(live))
+            maybe.give_back = lambda: (live.remove(i), free())
+            return maybe
+
+        return rounds, one
+
+    monkeypatch.setattr(exact_dedup, "repeated_hash_tests", counted)
+    prints = exact_dedup.add_fingerprint(docs)
+    got = exact_dedup.unpack(
+        exact_dedup.mark_repeats(prints, bits_per_row=700, max_bits=exact_dedup.BLOCK_BITS), *[F.col(c) for c in (
+            "keep_id", "group_size", "kept", "text_sha256")])
+    assert rows_of(got) == plain(ROWS)
+    assert len(most) > 5 and set(most) == {1} and not live
+
+
 def test_rest_passes_and_columns_stay(docs):
     left = exact_dedup.drop_copies(docs)
     assert left.columns == docs.columns
