@@ -2,6 +2,7 @@
 
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -177,3 +178,27 @@ def test_recurring_cells_over_slots(spark, monkeypatch):
     whole = jaccard.recurring_cells(packed, 5).value
     monkeypatch.setattr(jaccard, "SLOT_ROWS", 20)
     assert (jaccard.recurring_cells(packed, 5).value == whole).all() and whole.any()
+
+
+def test_cells_sent_as_numbers_or_bits():
+    """Empty, few and many set bits come back as they were; few of them travel as a few bytes."""
+    rng = np.random.default_rng(4)
+    size = 1 << jaccard.PART_BITS
+    for n in (0, 1, 4095, 4096, 60_000):
+        bits = np.zeros(size, bool)
+        bits[rng.choice(size, n, replace=False)] = True
+        packed = np.packbits(bits)
+        made = jaccard._sent(pa.table({"part": pa.array([7], pa.int32()), "once": [b""], "twice": [packed.tobytes()]}))
+        sent = made.column("twice")[0].as_py()
+        assert len(sent) == min(2 * n, size // 8) and made.column("part")[0].as_py() == 7
+        assert (jaccard._received(sent) == packed).all()
+
+
+def test_recurring_cells_hold_what_two_rows_share(spark):
+    words = [f"w{i}" for i in range(400)]
+    rows = [(i, " ".join(words[i * 7:i * 7 + 30])) for i in range(50)]
+    packed = jaccard.pack(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text")
+    table = jaccard.recurring_cells(packed, 5).value
+    seen = Counter(int(c) for s in jaccard.shingle_sets(pa.array([t for _, t in rows]), 5) for c in jaccard._cells(s))
+    want = sorted(c for c, n in seen.items() if n > 1)
+    assert want and np.flatnonzero(np.unpackbits(table)).tolist() == want
