@@ -7,6 +7,7 @@ from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -37,6 +38,21 @@ def _first_of(order: list[str]):
     return pick
 
 
+def _first_rows(source: DataFrame, order: str) -> DataFrame:
+    """Of the loads that a batch touches those that no batch touched before, each with its first row.
+
+    The state of a load holds the times of the first and of the last batch that brought it and the
+    smallest row, nulls before all values. In update mode a batch gives the loads it brings; where both
+    times are equal all rows of the load came with this batch. A repeated batch keeps its time.
+    """
+    rest = [c for c in source.columns if c not in ("load_id", order)]
+    row = F.struct(*dict.fromkeys([order, *rest]))
+    seen = source.withColumn("_at", F.current_timestamp()).groupBy("load_id").agg(
+        F.min("_at").alias("_first"), F.max("_at").alias("_last"), F.min(row).alias("_row"))
+    return seen.filter(F.col("_first") == F.col("_last")).select(
+        *["load_id" if c == "load_id" else F.col(f"_row.`{c}`").alias(c) for c in source.columns])
+
+
 @contextmanager
 def _state_on_disk(spark: SparkSession) -> Iterator[None]:
     """While a query starts: its state lies in RocksDB, and a checkpoint holds what changed.
@@ -64,10 +80,11 @@ def ingest_first_seen(source: DataFrame, dst: str, checkpoint: str, order: str =
 
     Which loads were seen is keyed state: a batch looks up its own loads, one by one, in a store on
     the executors' disks, and its checkpoint holds what changed. Nothing that earlier batches wrote
-    is read again, so a batch costs what it brings. Before the exchange every Arrow batch of a task
-    shrinks to one row per load, so a load with very many files stays small. ``forget_ms`` lets loads
-    go that were last seen that long ago; one that comes later counts as new. Each batch owns a
-    folder that a retry replaces, which makes a repeated batch harmless.
+    is read again, so a batch costs what it brings. Before the exchange a task shrinks to one row per
+    load, so a load with very many files stays small. ``forget_ms`` lets loads go that were last seen
+    that long ago; one that comes later counts as new. That takes a timeout per load, so loads are then
+    visited one by one in Python, which is many times slower. A checkpoint serves one of the two ways.
+    Each batch owns a folder that a retry replaces, which makes a repeated batch harmless.
 
     Returns the finished query.
     """
@@ -87,19 +104,22 @@ def ingest_first_seen(source: DataFrame, dst: str, checkpoint: str, order: str =
             if not seen:
                 best = pick(batch if best is None else pd.concat([best, batch]))
         state.update((True,))
-        if forget_ms is not None:
-            state.setTimeoutDuration(forget_ms)
+        state.setTimeoutDuration(forget_ms)
         if best is not None:
             yield best
 
     def store(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{dst}/batch={batch_id}")
 
-    timeout = GroupStateTimeout.NoTimeout if forget_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    fresh = source.mapInPandas(shrink, schema).groupBy("load_id").applyInPandasWithState(unseen, schema, "seen boolean", "append", timeout)
+    if forget_ms is None:
+        fresh, mode = _first_rows(source, order), "update"
+    else:
+        mode = "append"
+        fresh = source.mapInPandas(shrink, schema).groupBy("load_id").applyInPandasWithState(
+            unseen, schema, "seen boolean", mode, GroupStateTimeout.ProcessingTimeTimeout)
     with _state_on_disk(spark):
         query = (
-            fresh.writeStream.outputMode("append").foreachBatch(store)
+            fresh.writeStream.outputMode(mode).foreachBatch(store)
             .option("checkpointLocation", checkpoint)
             .trigger(availableNow=True)
             .start()

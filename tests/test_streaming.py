@@ -103,3 +103,16 @@ def test_late_rows_are_kept_and_folded_in(spark, tmp_path):
     want = sorted(map(tuple, throughput.throughput(base, "1 minute").collect()))
     for _ in range(2):
         assert sorted(map(tuple, throughput.fold_late(spark, dst).collect())) == want
+
+
+def test_first_seen_runs_without_python_per_load(spark, tmp_path):
+    """Nulls come first, loads without an id are one load, and no Python visits the loads one by one."""
+    src, dst, checkpoint = tmp_path / "src", str(tmp_path / "dst"), str(tmp_path / "cp")
+    schema = "load_id string, path string, length int"
+    put(spark, src, [("1", "b", 1), ("1", None, 2), ("1", None, None), (None, "z", 1), (None, "y", 1)], schema)
+    ingest.ingest_first_seen(stream(spark, src, schema), dst, checkpoint)
+    put(spark, src, [("1", "a", 0), (None, "a", 0), ("2", "c", 3), ("2", "c", 2)], schema)
+    query = ingest.ingest_first_seen(stream(spark, src, schema), dst, checkpoint)
+    got = {tuple(r) for r in ingest.first_seen(spark, dst).select("load_id", "path", "length").collect()}
+    assert got == {("1", None, None), (None, "y", 1), ("2", "c", 2)}
+    assert query.recentProgress[-1]["stateOperators"][0]["operatorName"] == "stateStoreSave"
