@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from packetmill.session import configure
+from packetmill.session import configure, fit_partitions
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,7 +19,8 @@ def query(oracle: str | None = None) -> Callable[[Query], Query]:
 
     def add(function: Query) -> Query:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return function(configure(spark), sf_dir)
+            fit_partitions(configure(spark), sf_dir)
+            return function(spark, sf_dir)
 
         run.__name__, run.__doc__ = function.__name__, function.__doc__
         QUERIES[function.__name__] = run

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Runtime settings the operators count on. Adaptive execution splits a hot join key into several
 # tasks; forcing it keeps that true when the split costs one more exchange further up the plan.
@@ -28,6 +29,27 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Shuffled bytes that one task takes, and bytes of the tables' files that one initial partition stands
+# for. A task that sorts wide rows holds more than ten times the shuffled bytes it takes.
+TASK_BYTES = "16m"
+INPUT_PER_PARTITION = 2 << 20
+_sizes: dict[tuple[str, str], int] = {}
+
+
+def fit_partitions(spark: SparkSession, folder: str) -> None:
+    """Let the number of partitions follow the size of the tables, so that the memory of a task does not."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _sizes:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+        _sizes[key] = files.agg(F.sum("length")).first()[0] or 0
+    wanted, number = -(-_sizes[key] // INPUT_PER_PARTITION), "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", TASK_BYTES)
+    if wanted > int(spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(number, str(wanted))
+    else:
+        spark.conf.unset(number)
+
+
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str = "packetmill") -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     spark = (
