@@ -110,10 +110,14 @@ def with_breakdown_conflict(docs: DataFrame, accessorials: DataFrame | None, tol
         rows = docs.withColumn("accessorial_cents", F.lit(0).cast("bigint"))
     else:
         rows = docs.join(accessorial_totals(accessorials), ["load_id", "doc_seq"], "left").na.fill(0, ["accessorial_cents"])
+    return rows.withColumn("rate_breakdown_conflict", _conflict(tolerance_cents))
+
+
+def _conflict(tolerance_cents: int = 1) -> Column:
     total, haul = cents(F.col("rate_total")), cents(F.col("line_haul_clean"))
     fuel = F.coalesce(cents(F.col("fuel_surcharge")), F.lit(0))
     gap = F.abs(total - (haul + fuel + F.col("accessorial_cents")))
-    return rows.withColumn("rate_breakdown_conflict", F.coalesce(gap > tolerance_cents, F.lit(False)))
+    return F.coalesce(gap > tolerance_cents, F.lit(False))
 
 
 def with_weight_lb(docs: DataFrame) -> DataFrame:
@@ -221,16 +225,37 @@ def with_parsed_fields(docs: DataFrame) -> DataFrame:
     return docs.withColumns({c: F.coalesce(_column(docs, c, kind), value) for c, (value, kind) in parsed.items()})
 
 
+def _facts(docs: DataFrame, numbers: DataFrame, accessorials: DataFrame | None) -> DataFrame:
+    """What other rows tell of a document: its load's number and its own charges; one narrow row per key."""
+    keys = docs.select("load_id", "doc_seq", F.lit(None).cast("bigint").alias("_cents"))
+    if accessorials is not None:
+        charges = accessorials.filter(F.col("load_id").isNotNull() & F.col("doc_seq").isNotNull())
+        keys = keys.unionByName(charges.select("load_id", "doc_seq", cents(F.col("amount")).alias("_cents")))
+    charged = keys.groupBy("load_id", "doc_seq").agg(F.coalesce(F.sum("_cents"), F.lit(0)).alias("accessorial_cents"))
+    return join_summary(charged, numbers, ["load_id"])
+
+
 def documents_classified(docs: DataFrame, accessorials: DataFrame | None = None,
-                         threshold: float = REVIEW_CONFIDENCE) -> DataFrame:
-    """Every document with its type, carrier key, checks, flags and the load's number."""
+                         threshold: float = REVIEW_CONFIDENCE, of: Column | None = None) -> DataFrame:
+    """Every document with its type, carrier key, checks, flags and the load's number.
+
+    ``of`` tells which documents are wanted, by their classified columns; load numbers come from all
+    of them. What needs no other row is worked out first, and whole documents travel once, to a
+    narrow row of what their load and their charges tell.
+    """
     typed = with_parsed_fields(with_classification(docs))
-    numbered = join_summary(
-        typed, load_reference(typed).select("load_id", "packet_load_number", "n_load_numbers"), ["load_id"]
-    )
-    checked = with_rate_clean(with_date_check(with_pallet_check(numbered)))
-    priced = with_breakdown_conflict(checked, accessorials)
-    return with_review(with_osd_gap(with_rate_per_mile(with_weight_lb(priced))), threshold)
+    numbers = load_reference(typed).select("load_id", "packet_load_number", "n_load_numbers")
+    wanted = typed if of is None else typed.filter(of)
+    own = with_rate_clean(with_date_check(with_pallet_check(wanted)))
+    checked = with_osd_gap(with_rate_per_mile(with_weight_lb(own)))
+    facts = _facts(wanted, numbers, accessorials).withColumnsRenamed({"load_id": "_load", "doc_seq": "_seq"})
+    same = F.col("load_id").eqNullSafe(F.col("_load")) & F.col("doc_seq").eqNullSafe(F.col("_seq"))
+    rows = checked.join(facts, same, "left").withColumn("rate_breakdown_conflict", _conflict())
+    told = ["packet_load_number", "n_load_numbers"]
+    later = [c for c in checked.columns if c not in own.columns]
+    rows = rows.select(*typed.columns, *told, *[c for c in own.columns if c not in typed.columns],
+                       "accessorial_cents", "rate_breakdown_conflict", *later)
+    return with_review(rows, threshold)
 
 
 # Leading columns of every table per type, then the columns of each type.

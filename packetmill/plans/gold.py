@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetmill.operators import gold
 from packetmill.plans.fixtures import table, with_tables
 from packetmill.plans.registry import ORACLES, query
-from packetmill.session import scratch_dir
+from packetmill.session import scratch_dir, stored
 from packetmill.sources import published, writers
 
 _TYPED = r"""typed AS (
@@ -77,8 +77,28 @@ def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.with_classification(_silver(spark, sf_dir))
 
 
-def _classified(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.documents_classified(_silver(spark, sf_dir), table(spark, sf_dir, "accessorials"))
+# Columns of the silver documents that the rules read.
+RULED = [
+    "load_id", "doc_seq", "doc_type_raw", "load_number", "rc_number", "carrier_dot", "carrier_mc", "carrier_scac", "carrier_name",
+    "pallet_count", "commodity", "pickup_date", "delivery_date", "rate_total", "line_haul", "fuel_surcharge", "weight", "weight_unit",
+    "miles", "pieces", "pieces_received", "osd_code", "illegible", "unverified_fields", "ocr_confidence",
+]
+
+
+def _classified(spark: SparkSession, sf_dir: str, *more: str, of: Column | None = None) -> DataFrame:
+    """Classified documents with ``more`` columns of theirs. Load numbers, charges and the documents all come
+    from the silver documents, which are derived once and stored."""
+    silver = stored(_silver(spark, sf_dir).select(*RULED, *more), "silver", compression="zstd")
+    # A silver document has the keys and pieces of its freight document.
+    return gold.documents_classified(silver, table(spark, sf_dir, "accessorials", {"freight_documents": silver}), of=of)
+
+
+_SOURCE = ["source_pdf", "page_range"]
+
+
+def _rate_confirmations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    more = [*_SOURCE, "broker_name", "origin_state", "destination_state"]
+    return gold.rate_confirmations(_classified(spark, sf_dir, *more, of=F.col("doc_type") == "rate_confirmation"))
 
 
 @query(_oracle("SELECT load_id, doc_seq, doc_type FROM typed"))
@@ -174,23 +194,25 @@ _LEAD = "load_id, doc_seq, packet_load_number, load_number, source_pdf, page_ran
 
 @query(_oracle(f"SELECT {_LEAD}, {', '.join(gold.RATE_CONFIRMATION)} FROM classified WHERE doc_type = 'rate_confirmation'"))
 def i13_rate_confirmations(spark, sf_dir):
-    return gold.rate_confirmations(_classified(spark, sf_dir))
+    return _rate_confirmations(spark, sf_dir)
 
 
 @query(_oracle(f"SELECT {_LEAD}, {', '.join(gold.BILL_OF_LADING)} FROM classified WHERE doc_type = 'bill_of_lading'"))
 def i14_bills_of_lading(spark, sf_dir):
-    return gold.bills_of_lading(_classified(spark, sf_dir))
+    more = [*_SOURCE, "bol_number", "shipper_name", "consignee_name", "freight_class", "is_signed_delivery_copy"]
+    return gold.bills_of_lading(_classified(spark, sf_dir, *more, of=F.col("doc_type") == "bill_of_lading"))
 
 
 @query(_oracle(f"SELECT {_LEAD}, {', '.join(gold.PROOF_OF_DELIVERY)}, delivery_date, pod_source FROM pods"))
 def i15_proofs_of_delivery(spark, sf_dir):
-    return gold.proofs_of_delivery(_classified(spark, sf_dir))
+    more = [*_SOURCE, "delivered", "received_by", "signature_present", "is_signed_delivery_copy", "delivery_signed_date"]
+    return gold.proofs_of_delivery(_classified(spark, sf_dir, *more, of=gold.is_pod()))
 
 
 @query(_oracle(f"""SELECT {_LEAD}, {', '.join(gold.OTHER)} FROM classified
 WHERE doc_type NOT IN ('rate_confirmation', 'bill_of_lading', 'proof_of_delivery')"""))
 def i16_other_documents(spark, sf_dir):
-    return gold.other_documents(_classified(spark, sf_dir))
+    return gold.other_documents(_classified(spark, sf_dir, *_SOURCE))
 
 
 @query(_oracle("""SELECT count(*) AS loads, cast(sum(a) AS BIGINT) AS loads_by_type, cast(sum(b) AS BIGINT) AS loads_by_role,
@@ -211,13 +233,13 @@ FROM (
   UNION ALL SELECT load_id, packet_load_number, 3, NULL, NULL, delivery_date FROM pods
 ) GROUP BY load_id"""))
 def d5_load_overview(spark, sf_dir):
-    return gold.load_overview(_classified(spark, sf_dir))
+    return gold.load_overview(_classified(spark, sf_dir, "bol_number", "is_signed_delivery_copy", "delivery_signed_date"))
 
 
 @query(_oracle(f"SELECT {_LEAD}, {', '.join(gold.RATE_CONFIRMATION)} FROM classified WHERE doc_type = 'rate_confirmation'"))
 def b7_publish_ml(spark, sf_dir):
     """Published, replaced by a version of half the rows, and pointed back to the first."""
-    out, rows = scratch_dir(spark, "b7-published"), gold.rate_confirmations(_classified(spark, sf_dir))
+    out, rows = scratch_dir(spark, "b7-published"), _rate_confirmations(spark, sf_dir)
     whole = published.publish(rows, out)
     published.publish(published.read_published(spark, out).filter("load_id % 2 = 0"), out)
     published.point_to(spark, out, whole)
@@ -228,7 +250,7 @@ def b7_publish_ml(spark, sf_dir):
 def b7_export_ml(spark, sf_dir):
     """Exported to Parquet, that to CSV, and the CSV read back."""
     out = scratch_dir(spark, "b7")
-    writers.export_ml(gold.rate_confirmations(_classified(spark, sf_dir)), f"{out}/parquet")
+    writers.export_ml(_rate_confirmations(spark, sf_dir), f"{out}/parquet")
     rows = spark.read.parquet(f"{out}/parquet")
     writers.export_ml(rows, f"{out}/csv", "csv")
     return spark.read.option("header", "true").option("escape", '"').schema(rows.schema).csv(f"{out}/csv")
