@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from packetmill.session import configure, scratch_dir
+from packetmill.session import configure, freeing, scratch_dir
 
 # White space of all contracts: space and the six control characters from tab to carriage return.
 SPACE = r"[\x20\x09-\x0D]+"
@@ -22,7 +22,8 @@ def stored(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    with freeing(spark):
+        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -202,3 +202,22 @@ def test_recurring_cells_hold_what_two_rows_share(spark):
     seen = Counter(int(c) for s in jaccard.shingle_sets(pa.array([t for _, t in rows]), 5) for c in jaccard._cells(s))
     want = sorted(c for c, n in seen.items() if n > 1)
     assert want and np.flatnonzero(np.unpackbits(table)).tolist() == want
+
+
+def test_cells_in_rounds_know_the_same_texts(spark, monkeypatch):
+    """More shingles than one table tells apart are looked up in rounds, and the result is the same."""
+    assert jaccard.cell_rounds(10, 1 << 20) == (1, 1) and jaccard.cell_rounds(10, 20 << 30)[1] > 10
+    rng = random.Random(5)
+    rows = [*families(6, n=20), *((2000 + i, " ".join(str(rng.random()) for _ in range(60))) for i in range(50)), (9000, None), (None, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    packed = jaccard.pack(docs, "doc_id", "text")
+    table = jaccard.recurring_cells(packed, 5).value
+    handles = [r[0] for r in docs.select(jaccard.F.xxhash64(jaccard.F.coalesce("text", jaccard.F.lit("")))).collect()]
+    sets = jaccard.shingle_sets(pa.array([r[0] for r in docs.select("text").collect()]), 5)
+    want = {h for h, s in zip(handles, sets) if len(s) and jaccard.may_have_partner(s, table, 80)}
+    for slots in (1, 3):
+        got = {r.handle for r in jaccard._with_enough(packed, 80, 5, slots, 4).collect()}
+        assert got == want and 0 < len(want) < len(set(handles)) - 40
+    one = sorted(map(str, jaccard.one_per_component(docs, words=5, percent=80).collect()))
+    monkeypatch.setattr(jaccard, "cell_rounds", lambda texts, size: (1, 3))
+    assert sorted(map(str, jaccard.one_per_component(docs, words=5, percent=80).collect())) == one
