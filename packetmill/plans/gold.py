@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from packetmill.operators import gold
-from packetmill.plans.fixtures import table, with_tables
+from packetmill.plans.fixtures import by_loads, table, with_tables
 from packetmill.plans.registry import ORACLES, query
 from packetmill.session import scratch_dir, stored
 from packetmill.sources import published, writers
@@ -69,8 +69,8 @@ def _oracle(select: str) -> str:
     return with_tables(f"WITH {_ALL}\n{select}", "silver_documents", "accessorials")
 
 
-def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "silver_documents")
+def _silver(spark: SparkSession, sf_dir: str, given: dict[str, DataFrame] | None = None) -> DataFrame:
+    return table(spark, sf_dir, "silver_documents", given)
 
 
 def _typed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,10 +85,11 @@ RULED = [
 ]
 
 
-def _classified(spark: SparkSession, sf_dir: str, *more: str, of: Column | None = None) -> DataFrame:
+def _classified(spark: SparkSession, sf_dir: str, *more: str, of: Column | None = None,
+                given: dict[str, DataFrame] | None = None) -> DataFrame:
     """Classified documents with ``more`` columns of theirs. Load numbers, charges and the documents all come
     from the silver documents, which are derived once and stored."""
-    silver = stored(_silver(spark, sf_dir).select(*RULED, *more), "silver", compression="zstd")
+    silver = stored(_silver(spark, sf_dir, given).select(*RULED, *more), "silver", compression="zstd")
     # A silver document has the keys and pieces of its freight document.
     return gold.documents_classified(silver, table(spark, sf_dir, "accessorials", {"freight_documents": silver}), of=of)
 
@@ -98,7 +99,8 @@ _SOURCE = ["source_pdf", "page_range"]
 
 def _rate_confirmations(spark: SparkSession, sf_dir: str) -> DataFrame:
     more = [*_SOURCE, "broker_name", "origin_state", "destination_state"]
-    return gold.rate_confirmations(_classified(spark, sf_dir, *more, of=F.col("doc_type") == "rate_confirmation"))
+    return by_loads(spark, sf_dir, "rate-confirmations", lambda given: gold.rate_confirmations(
+        _classified(spark, sf_dir, *more, of=F.col("doc_type") == "rate_confirmation", given=given)))
 
 
 @query(_oracle("SELECT load_id, doc_seq, doc_type FROM typed"))
@@ -233,7 +235,8 @@ FROM (
   UNION ALL SELECT load_id, packet_load_number, 3, NULL, NULL, delivery_date FROM pods
 ) GROUP BY load_id"""))
 def d5_load_overview(spark, sf_dir):
-    return gold.load_overview(_classified(spark, sf_dir, "bol_number", "is_signed_delivery_copy", "delivery_signed_date"))
+    more = ["bol_number", "is_signed_delivery_copy", "delivery_signed_date"]
+    return by_loads(spark, sf_dir, "overview", lambda given: gold.load_overview(_classified(spark, sf_dir, *more, given=given)))
 
 
 @query(_oracle(f"SELECT {_LEAD}, {', '.join(gold.RATE_CONFIRMATION)} FROM classified WHERE doc_type = 'rate_confirmation'"))
